@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codexmill.operators.scan import running_sum
+from codexmill.session import materialize
 
 OPEN = 1 << 20
 WORD_BITS = 6
@@ -106,7 +107,7 @@ def find_orphans(refs: DataFrame, parents: DataFrame, n_buckets: int = 2048) ->
     """
     r = refs.where(F.col("key").isNotNull())
     timed = r.where(F.col("at").isNotNull()).withColumn("month", month_no(F.col("at")))
-    hit = timed.join(suspects(timed, parents, n_buckets), ["domain", "key", "month"])
+    hit = materialize(timed.join(suspects(timed, parents, n_buckets), ["domain", "key", "month"]), "suspects")
     maybe = hit.where(~F.col("certain"))
     live = parents.where(F.col("live_from").isNotNull() & (F.col("live_to").isNull() | (F.col("live_to") > F.col("live_from"))))
     asked = maybe.select("domain", "key", "at").distinct()
