@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from types import ModuleType
 
-from codexmill.plans import general
+from codexmill.plans import general, graph
 
 
 def modules() -> list[ModuleType]:
-    return [general]
+    return [general, graph]
