@@ -14,13 +14,14 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Beyond Latin letters a character may have other compositions; these go through NFC.
 _MAY_COMPOSE = "[^\\x{0}-\\x{2ff}\\x{2010}-\\x{2027}]"
 NOT_WRITTEN = "[^\\p{L}\\p{M}\\p{Nd}]"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
