@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from types import ModuleType
 
-from codexmill.plans import general, graph
+from codexmill.plans import documents, general, graph
 
 
 def modules() -> list[ModuleType]:
-    return [general, graph]
+    return [general, graph, documents]
