@@ -255,7 +255,8 @@ def _expand_cycles(k: DataFrame, q: DataFrame, size: int, segments: bool) -> tup
     both = on.join(on.select(F.col("x").alias("y")).distinct(), "y", "left_semi")
     if both.isEmpty():
         return k, solved
-    pairs = materialize(_same_cycle(both), "cycle-pairs")
+    both = materialize(both, "both-on-cycles")
+    pairs = _same_cycle_here(both) if both.count() <= size else _same_cycle(both)
     where = k.where("o IS NOT NULL AND primary").select("frag", F.col("s").alias("x")).join(pairs, "x")
     todo = materialize(where.select("frag", "x", "y"), "cycle-entries")
 
@@ -275,6 +276,27 @@ def _expand_cycles(k: DataFrame, q: DataFrame, size: int, segments: bool) -> tup
     return materialize(full.select(k.columns), "cycles"), solved
 
 
+def _same_cycle_here(pairs: DataFrame) -> DataFrame:
+    """Of (x, y), no more than a fragment's worth, those inside one cycle."""
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        e = pd.concat(parts, ignore_index=True).drop_duplicates()
+        codes, names = pd.factorize(np.concatenate([e["x"].to_numpy(), e["y"].to_numpy()]))
+        x, y = codes[: len(e)], codes[len(e) :]
+        graph: dict[int, list[int]] = {i: [] for i in range(len(names))}
+        for a, b in zip(x.tolist(), y.tolist(), strict=True):
+            graph[a].append(b)
+        label = np.zeros(len(names), dtype=int)
+        for k, scc in enumerate(_sccs(graph)):
+            label[scc] = k
+        yield e[label[x] == label[y]][["x", "y"]]
+
+    return materialize(pairs.coalesce(1).mapInPandas(solve, "x string, y string"), "same-cycle")
+
+
 def _same_cycle(pairs: DataFrame) -> DataFrame:
     """Of (x, y) between nodes on cycles, those inside one cycle.
 

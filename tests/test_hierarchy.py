@@ -75,3 +75,11 @@ def test_long_chain_self_loop_and_two_cycle(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "s string, o string")
     assert H.cyclic_nodes(df).count() == 0 and H.hierarchy(df).count() == 0 and H.descendants(df).count() == 0
+
+
+def test_cycles_across_fragments_without_the_one_task_shortcut(spark, monkeypatch):
+    monkeypatch.setattr(H, "_same_cycle_here", H._same_cycle)
+    edges = random_edges(2, 60, 5, 4)
+    _, above = brute(edges)
+    got = {r[0] for r in rows(H.cyclic_nodes(spark.createDataFrame(edges, "s string, o string"), 12))}
+    assert got == {s for s in above if s in above[s]}
