@@ -33,7 +33,7 @@ def closure(edges: DataFrame, roots: DataFrame, include_roots: bool = True) -> D
 def closure_sql(spark: SparkSession, edges: DataFrame, root: str, depth: int = 100) -> DataFrame:
     """(node): the path ``*`` of one root as a recursive query, for acyclic
     containment no deeper than ``depth``. The root is a query parameter."""
-    edges.select("child", "parent").distinct().createOrReplaceTempView("codexmill_edges")
+    edges.select("child", "parent").where("child IS NOT NULL AND parent IS NOT NULL").distinct().createOrReplaceTempView("codexmill_edges")
     return spark.sql(
         f"""WITH RECURSIVE below(node, d) MAX RECURSION LEVEL {int(depth)} AS (
               SELECT CAST(:root AS STRING), 0

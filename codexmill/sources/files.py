@@ -89,7 +89,10 @@ def turtle_lines(lines: DataFrame, g: str) -> DataFrame:
     w = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     v = F.trim(F.col("value"))
     rows = lines.where((v != "") & ~v.startswith("#") & ~v.startswith("@")).select("pos", v.alias("v"))
-    starts = F.regexp_extract("v", r"^(<[^>]*>|[\w-]+:[^\s;]+)\s+(?:<|[\w-]+:|a\s)", 1)
+    #: a line opens a statement unless the one before ended with ';'
+    goes_on = F.coalesce(F.lag("v").over(Window.orderBy("pos")).rlike(r";\s*$"), F.lit(False))
+    rows = rows.withColumn("starts", F.when(goes_on, "").otherwise(F.regexp_extract("v", r"^(<[^>]*>|[\w-]+:[^\s;]+)\s", 1)))
+    starts = F.col("starts")
     rows = rows.withColumn("s", F.last(F.nullif(starts, F.lit("")), True).over(w))
     body = F.when(starts != "", F.regexp_replace("v", r"^(?:<[^>]*>|[\w-]+:[^\s;]+)\s+", "")).otherwise(F.col("v"))
     p = F.regexp_extract(body, r"^([^\s]+)\s", 1)
