@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from codexmill.session import materialize
+
 #: Beyond Latin letters a character may have other compositions; these go through NFC.
 _MAY_COMPOSE = "[^\\x{0}-\\x{2ff}\\x{2010}-\\x{2027}]"
 NOT_WRITTEN = "[^\\p{L}\\p{M}\\p{Nd}]"
@@ -76,17 +78,21 @@ def _same_multiset(a: str, b: str) -> Column:
 def groups(records: DataFrame) -> DataFrame:
     """(first_id, record_id): every record with the smallest id of its group.
 
-    The smallest id of a fingerprint is found map-side first; the join back
-    has one row a fingerprint on its one side, so AQE may split a fingerprint
-    that holds a third of all rows. Rows with a NULL record_id are left out; a
+    The smallest id of a fingerprint is found map-side first; the joins back
+    have one row a fingerprint on their one side, so AQE may split a fingerprint
+    that holds a third of all rows. Nothing is sorted. Rows with a NULL record_id are left out; a
     record_id that is delivered twice counts once if its pairs agree.
     """
-    r = fingerprinted(records.where("record_id IS NOT NULL"))
+    r = materialize(fingerprinted(records.where("record_id IS NOT NULL")), "fingerprints")
     key = ["fp_lo", "fp_hi"]
-    first = r.groupBy(*key).agg(F.min_by("pairs", "record_id").alias("first_pairs"), F.min("record_id").alias("first_id"))
-    j = r.join(first.hint("shuffle_hash"), key)
-    same = j.where(_same_multiset("pairs", "first_pairs")).select("first_id", "record_id")
-    rest = j.where(~_same_multiset("pairs", "first_pairs")).withColumn("all_pairs", F.array_sort("pairs")).select("record_id", "all_pairs")
+    first = r.groupBy(*key).agg(F.min("record_id").alias("first_id"))
+    head = r.join(first.withColumnRenamed("first_id", "record_id").hint("shuffle_hash"), [*key, "record_id"])
+    head = head.select(*key, F.col("record_id").alias("first_id"), F.col("pairs").alias("first_pairs"))
+    j = r.join(head.hint("shuffle_hash"), key)
+    other = F.when(~_same_multiset("pairs", "first_pairs"), F.col("pairs"))
+    judged = materialize(j.select("first_id", "record_id", other.alias("other")).distinct(), "judged")
+    same = judged.where("other IS NULL").select("first_id", "record_id")
+    rest = judged.where("other IS NOT NULL").select("record_id", F.array_sort("other").alias("all_pairs"))
     again = rest.join(rest.groupBy("all_pairs").agg(F.min("record_id").alias("first_id")), "all_pairs").select("first_id", "record_id")
     return same.unionByName(again)
 
