@@ -34,7 +34,10 @@ NUMBER = re.compile(r"\d+")
 NOT_YEAR = re.compile(r"(?<!\d)(?!(?:19|20)\d\d(?!\d))\d+")
 CAPITAL = re.compile(r"\b[A-ZÅÄÖ]")
 PRICE = re.compile(r"\d\s?(?:kr|:-)(?!\w)|★|☆|\bart\.?\s?nr\b|[€$£]\s?\d|\d\s?[€$£]", re.IGNORECASE)
-STATEMENT = re.compile(r"(?<=[.!?])\s+(?=[^\W\d_]|[#\[*•])")
+#: A link belongs to the title before it.
+STATEMENT = re.compile(r"(?<=[.!?])\s+(?!https?://|www\.)(?=[^\W\d_]|[#\[*•])")
+#: One title, however worded, and one link after it; a link inside of a sentence is none.
+TITLED = re.compile(r"[^.!?]*[.!?]\s+(?:https?://|www\.)\S+$")
 #: Beginnings of entries of registers, tables, contents and statutes.
 ENTRY = re.compile(r"\s*(?:\d{1,3}(?:\.\d+)*[.;|)\t ]|\d+ ?[a-z]? ?(?:§|kap\b)|[A-ZÅÄÖ][^\s:|]*(?: [^\s:|]+)?:\s(?!\s*http)|(?:section|chapter|art(?:icle|ikel)?)\s\d)", re.IGNORECASE)
 LEADER = re.compile(r"\.{4,}\s*\d+\s*$")
@@ -50,7 +53,9 @@ def _step(n: int) -> int:
 
 
 def _kind(s: str, n: int, fw: int, numbers: int, urls: list[str]) -> str:
-    if urls and (sum(map(len, urls)) >= 0.4 * len(s) or len(urls) >= 3) and fw <= 0.1 * n:
+    if urls and fw <= 0.1 * n and (len(urls) >= 3 or sum(map(len, urls)) >= 0.4 * len(s)):
+        return "links"
+    if urls and TITLED.match(s) and s[-1] != "." and len(urls[0]) >= 0.3 * len(s):
         return "links"
     tags = s.count("#")
     if tags >= 2 and tags >= 0.2 * n:
@@ -93,7 +98,7 @@ def shapes(text: str) -> Iterator[tuple[str, str, int]]:
     products = sum(f[1] == "products" for f in found)
     if len(distinct) < 0.6 * total or products > 1:
         again.update(NUMBER.sub("0", f[0]) for f in found)
-        hot = _hot([f[2] for f in found if f[1] == SENTENCE])
+        hot = _hot([f[2] for f in found if f[1] in (SENTENCE, "keywords")])
     for s, kind, words, shape in found:
         k = kind
         if k == SENTENCE and hot:
