@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from types import ModuleType
 
-from codexmill.plans import documents, general, graph
+from codexmill.plans import documents, general, graph, publishing
 
 
 def modules() -> list[ModuleType]:
-    return [general, graph, documents]
+    return [general, graph, documents, publishing]
