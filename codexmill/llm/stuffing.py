@@ -96,8 +96,9 @@ def shapes(text: str) -> Iterator[tuple[str, str, int]]:
     hot: set[str] = set()
     again: Counter[str] = Counter()
     products = sum(f[1] == "products" for f in found)
-    if len(distinct) < 0.6 * total or products > 1:
+    if products > 1:  # what is said after every product is part of its tag
         again.update(NUMBER.sub("0", f[0]) for f in found)
+    if len(distinct) < 0.6 * total:
         hot = _hot([f[2] for f in found if f[1] in (SENTENCE, "keywords")])
     for s, kind, words, shape in found:
         k = kind
@@ -105,10 +106,8 @@ def shapes(text: str) -> Iterator[tuple[str, str, int]]:
             own = [w for w in words if len(w) > 3 and not is_function(w)]
             if own and sum(w in hot for w in own) >= 0.4 * len(own):
                 k = "phrase"
-        if k == SENTENCE and again:
-            times = again[NUMBER.sub("0", s)]
-            if times >= (2 if products > 1 else max(3, 0.2 * len(found))):
-                k = "refrain"
+        if k == SENTENCE and products > 1 and again[NUMBER.sub("0", s)] > 1:
+            k = "refrain"
         yield f"{k}:{shape}", k, len(s)
 
 
