@@ -97,19 +97,20 @@ def find_orphans(refs: DataFrame, parents: DataFrame, n_buckets: int = 2048) ->
     """Rows of ``refs`` for whose (domain, key) no row of ``parents`` is live at
     ``at``; a parent is live from ``live_from`` until before ``live_to``.
 
-    refs: domain, key, at and any other columns (names starting with ``_`` and
-    ``month``, ``certain`` are taken); parents: domain, key, live_from, live_to.
+    refs: domain, key, at and any other columns; parents: domain, key,
+    live_from, live_to, where other columns do not count.
     References with a NULL key are no references. A reference with NULL ``at``
     can meet no live row and is an orphan. Parents with a NULL key or
     ``live_from``, or ending no later than they begin, are never live. Repeated
     rows stay repeated. A key with a third of all rows is reduced map-side to
     one row a month before keys are shuffled.
     """
-    r = refs.where(F.col("key").isNotNull())
+    r = refs.select("domain", "key", "at", F.struct(*refs.columns).alias("row")).where(F.col("key").isNotNull())
     timed = r.where(F.col("at").isNotNull()).withColumn("month", month_no(F.col("at")))
-    hit = materialize(timed.join(suspects(timed, parents, n_buckets), ["domain", "key", "month"]), "suspects")
+    p = parents.select("domain", "key", "live_from", "live_to")
+    hit = materialize(timed.join(suspects(timed, p, n_buckets), ["domain", "key", "month"]), "suspects")
     maybe = hit.where(~F.col("certain"))
-    live = parents.where(F.col("live_from").isNotNull() & (F.col("live_to").isNull() | (F.col("live_to") > F.col("live_from"))))
+    live = p.where(F.col("live_from").isNotNull() & (F.col("live_to").isNull() | (F.col("live_to") > F.col("live_from"))))
     asked = maybe.select("domain", "key", "at").distinct()
     flips = live.join(asked.select("domain", "key").distinct(), ["domain", "key"], "left_semi").select(
         "domain", "key", F.explode(F.array(
@@ -122,4 +123,4 @@ def find_orphans(refs: DataFrame, parents: DataFrame, n_buckets: int = 2048) ->
     dead = running_sum(ticks, ["domain", "key"], "at", "_m", "d", "_live").where("asked = 1 AND _live = 0").select("domain", "key", "at")
     checked = maybe.join(dead, ["domain", "key", "at"], "left_semi")
     never = r.where(F.col("at").isNull())
-    return hit.where("certain").select(*refs.columns).unionByName(checked.select(*refs.columns)).unionByName(never.select(*refs.columns))
+    return hit.where("certain").select("row.*").unionByName(checked.select("row.*")).unionByName(never.select("row.*"))

@@ -90,7 +90,7 @@ def short_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pdf_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "sfs_snapshots").select("fsnummer").where("fsnummer IS NOT NULL").distinct()
-    y, n = F.regexp_extract("fsnummer", r"^([0-9]{4}):([0-9]+)", 1).cast("int"), F.regexp_extract("fsnummer", r"^([0-9]{4}):([0-9]+)", 2).cast("int")
+    y, n = F.regexp_extract("fsnummer", r"^([0-9]{4}):([0-9]+)", 1).try_cast("int"), F.regexp_extract("fsnummer", r"^([0-9]{4}):([0-9]+)", 2).try_cast("int")
     link = F.concat(F.substring("fsnummer", 3, 2), F.format_string("%04d", n))
     return s.select("fsnummer", X.official_pdf(y, n).alias("official_pdf"), X.authentic_version(y, n).alias("authentic"), F.when(X.official_pdf(y, n), link).alias("pdf"))
 
@@ -126,7 +126,7 @@ def paragraph_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_paragraph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs with the number of their section on the first one."""
     n = table(spark, sf_dir, "nodes").where("node_type = 'Stycke' AND node_id IS NOT NULL").select("doc", "node_id").distinct()
-    n = n.withColumn("section", F.regexp_extract("node_id", "^(.*)S[0-9]+$", 1)).withColumn("piece", F.regexp_extract("node_id", "S([0-9]+)$", 1).cast("int"))
+    n = n.withColumn("section", F.regexp_extract("node_id", "^(.*)S[0-9]+$", 1)).withColumn("piece", F.regexp_extract("node_id", "S([0-9]+)$", 1).try_cast("int"))
     first = F.col("piece") == F.min("piece").over(Window.partitionBy("doc", "section"))
     return n.select("doc", "node_id", F.when(first, F.nullif(F.regexp_extract("section", "P([0-9a-z]+)$", 1), F.lit(""))).alias("number"))
 
@@ -169,14 +169,14 @@ def newest_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest regulation of each series and year, not counting appendices."""
     r = table(spark, sf_dir, "skvfs_regulations").where(~F.contains(F.coalesce("title", F.lit("")), F.lit("bilaga")))
     key = F.split("basefile", "/")
-    r = r.select("reg_id", key[0].alias("series"), key[1].cast("int").alias("year"), key[2].cast("int").alias("number"), "fetched_at")
+    r = r.select("reg_id", F.get(key, 0).alias("series"), F.get(key, 1).try_cast("int").alias("year"), F.get(key, 2).try_cast("int").alias("number"), "fetched_at")
     best = F.max(F.struct("number", "fetched_at", "reg_id")).alias("b")
     return r.groupBy("series", "year").agg(best).select("series", "year", "b.number", "b.reg_id", (F.col("year") >= 2007).alias("needs_pdf"))
 
 
 def repository_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "direktiv_records").select(files.year_number(F.col("basefile")).alias("basefile")).where("basefile IS NOT NULL").distinct()
-    y, n = F.substring_index("basefile", ":", 1).cast("int"), F.substring_index("basefile", ":", -1).cast("int")
+    y, n = F.substring_index("basefile", ":", 1).try_cast("int"), F.substring_index("basefile", ":", -1).try_cast("int")
     return r.select("basefile", files.paged_path(y, n).alias("paged"), F.concat(y.cast("string"), F.lit("/dir"), y.cast("string"), F.lit("_"), n.cast("string")).alias("by_year"))
 
 

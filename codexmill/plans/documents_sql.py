@@ -72,7 +72,7 @@ trim(regexp_replace(title, '[ \t\r\n]+', ' ', 'g'), ' ') AS plain, CAST(length(t
 b AS (SELECT url, regexp_replace(url, '^[a-z]+://', '') AS bare FROM u),
 c AS (SELECT url, bare, regexp_extract(bare, '^([^/]*)', 1) || '/.../' || regexp_extract(regexp_replace(bare, '/+$', ''), '([^/]*)$', 1) AS short FROM b)
 SELECT url, CASE WHEN length(bare) <= 40 THEN bare WHEN length(short) <= 40 THEN short ELSE left(short, 37) || '...' END AS short FROM c""",
-    "pdf_rule": """WITH f AS (SELECT DISTINCT fsnummer, CAST(split_part(fsnummer, ':', 1) AS INT) AS y, CAST(regexp_extract(fsnummer, ':([0-9]+)', 1) AS INT) AS n FROM sfs_snapshots WHERE fsnummer IS NOT NULL),
+    "pdf_rule": """WITH f AS (SELECT DISTINCT fsnummer, TRY_CAST(split_part(fsnummer, ':', 1) AS INT) AS y, TRY_CAST(regexp_extract(fsnummer, ':([0-9]+)', 1) AS INT) AS n FROM sfs_snapshots WHERE fsnummer IS NOT NULL),
 h AS (SELECT *, (y > 1998 OR (y = 1998 AND n >= 306)) AND (y < 2018 OR (y = 2018 AND n < 160)) AS official_pdf FROM f)
 SELECT fsnummer, official_pdf, y > 2018 OR (y = 2018 AND n >= 160) AS authentic, CASE WHEN official_pdf THEN substr(fsnummer, 3, 2) || printf('%04d', n) END AS pdf FROM h""",
     "title_fallback": "SELECT DISTINCT snapshot_id, coalesce(title, fsnummer) AS shown FROM sfs_snapshots WHERE coalesce(title, fsnummer, '') <> ''",
@@ -95,9 +95,9 @@ SELECT node_row, node_id, level, concat_ws('.', CASE WHEN c1 > 0 THEN c1 END, CA
 r AS (SELECT *, row_number() OVER (PARTITION BY doc, anchor ORDER BY node_row) AS k FROM n) SELECT doc, node_row, anchor, CASE WHEN k = 1 THEN anchor ELSE anchor || '_' || k END AS unique_anchor FROM r""",
     "first_repo_wins": f"""SELECT nr AS basefile, record_id, subrepo FROM ({_NUMBERED}) QUALIFY row_number() OVER (PARTITION BY nr
 ORDER BY CASE subrepo WHEN 'dir-trips' THEN 0 WHEN 'dir-asp' THEN 1 WHEN 'dir-sou' THEN 2 WHEN 'dir-polo' THEN 3 ELSE 9 END, record_id) = 1""",
-    "newest_only": """WITH r AS (SELECT reg_id, split_part(basefile, '/', 1) AS series, CAST(split_part(basefile, '/', 2) AS INT) AS year, CAST(split_part(basefile, '/', 3) AS INT) AS number, fetched_at FROM skvfs_regulations WHERE NOT contains(coalesce(title, ''), 'bilaga'))
+    "newest_only": """WITH r AS (SELECT reg_id, split_part(basefile, '/', 1) AS series, TRY_CAST(split_part(basefile, '/', 2) AS INT) AS year, TRY_CAST(split_part(basefile, '/', 3) AS INT) AS number, fetched_at FROM skvfs_regulations WHERE NOT contains(coalesce(title, ''), 'bilaga'))
 SELECT series, year, number, reg_id, year >= 2007 AS needs_pdf FROM r QUALIFY row_number() OVER (PARTITION BY series, year ORDER BY number DESC, fetched_at DESC, reg_id DESC) = 1""",
-    "repository_paths": f"""WITH d AS (SELECT DISTINCT nr AS basefile, CAST(split_part(nr, ':', 1) AS INT) AS y, CAST(split_part(nr, ':', 2) AS INT) AS n FROM ({_NUMBERED}))
+    "repository_paths": f"""WITH d AS (SELECT DISTINCT nr AS basefile, TRY_CAST(split_part(nr, ':', 1) AS INT) AS y, TRY_CAST(split_part(nr, ':', 2) AS INT) AS n FROM ({_NUMBERED}))
 SELECT basefile, printf('%02d/%02d%04d', y % 100, y % 100, n) AS paged, y || '/dir' || y || '_' || n AS by_year FROM d""",
     "index_grouping": """WITH s AS (SELECT fsnummer, min(title) AS title FROM sfs_snapshots WHERE title IS NOT NULL AND fsnummer IS NOT NULL GROUP BY fsnummer),
 p AS (SELECT left(fsnummer, 4) AS category, fsnummer, upper(left(CASE WHEN contains(title, ' om ') THEN substr(title, strpos(title, ' om ') + 4) ELSE '' END, 1)) AS topic FROM s)

@@ -59,7 +59,7 @@ def landing_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     crawl by year would ask for all of them."""
     from codexmill.sources.files import year_number
 
-    r = table(spark, sf_dir, "direktiv_records").select(F.substring_index(year_number(F.col("basefile")), ":", 1).cast("int").alias("year"), "record_id").where("year IS NOT NULL")
+    r = table(spark, sf_dir, "direktiv_records").select(F.substring_index(year_number(F.col("basefile")), ":", 1).try_cast("int").alias("year"), "record_id").where("year IS NOT NULL")
     years = r.agg(F.min("year").alias("a"), F.max("year").alias("b")).select(F.explode(F.sequence("a", "b")).alias("year"))
     return years.join(r, "year", "left").groupBy("year").agg(F.count("record_id").alias("n"))
 

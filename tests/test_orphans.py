@@ -4,7 +4,7 @@ import random
 from codexmill.operators.orphans import find_orphans
 from tests.conftest import rows
 
-REFS = "id bigint, domain string, key string, at timestamp_ntz, code int"
+REFS = "id bigint, domain string, key string, at timestamp_ntz, month int"
 PARENTS = "domain string, key string, live_from timestamp_ntz, live_to timestamp_ntz, code int, note string"
 
 
