@@ -30,6 +30,21 @@ def closure(edges: DataFrame, roots: DataFrame, include_roots: bool = True) -> D
     return seen
 
 
+def all_pairs(edges: DataFrame) -> DataFrame:
+    """(node, root): every pair with a way of one or more steps from child to
+    parent. Ways double in length every round, so a long chain or cycle takes
+    logarithmic rounds; ``closure`` is for few roots."""
+    known = edges.select(F.col("child").alias("node"), F.col("parent").alias("root")).where("node IS NOT NULL AND root IS NOT NULL").distinct()
+    known = materialize(known, "pairs")
+    new = known
+    while not new.isEmpty():
+        step = new.select("node", F.col("root").alias("mid")).join(known.withColumnRenamed("node", "mid"), "mid").select("node", "root")
+        back = known.select("node", F.col("root").alias("mid")).join(new.withColumnRenamed("node", "mid"), "mid").select("node", "root")
+        new = materialize(step.unionByName(back).distinct().join(known, ["node", "root"], "left_anti"), "new-pairs")
+        known = known.unionByName(new)
+    return known
+
+
 def closure_sql(spark: SparkSession, edges: DataFrame, root: str, depth: int = 100) -> DataFrame:
     """(node): the path ``*`` of one root as a recursive query, for acyclic
     containment no deeper than ``depth``. The root is a query parameter."""

@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from codexmill.operators.closure import all_pairs
 from codexmill.session import materialize
 
 SEP = "\x1f"
@@ -211,8 +212,9 @@ def _sccs(graph: dict[int, list[int]]) -> Iterator[list[int]]:
                     yield scc
 
 
-def _contract(edges: DataFrame, size: int, segments: bool, base: bool) -> DataFrame:
-    """Fragment-wise contraction of edges (s, o, primary, hops, seg)."""
+def _contract(edges: DataFrame, size: int, segments: bool, base: bool) -> tuple[DataFrame, int]:
+    """Fragment-wise contraction of edges (s, o, primary, hops, seg), and the
+    number of fragments."""
 
     def fragment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [b for b in batches if len(b)]
@@ -221,7 +223,7 @@ def _contract(edges: DataFrame, size: int, segments: bool, base: bool) -> DataFr
 
     n = max(1, -(-edges.count() // size))
     cut = edges.coalesce(1) if n == 1 else edges.repartitionByRange(n, "s")
-    return materialize(cut.mapInPandas(fragment, _CONTRACTED), "fragments")
+    return materialize(cut.mapInPandas(fragment, _CONTRACTED), "fragments"), n
 
 
 def _quotient(k: DataFrame) -> DataFrame:
@@ -239,7 +241,9 @@ def _solve(edges: DataFrame, size: int, segments: bool, base: bool = True) -> tu
     level; should it not (links without any locality), fragments double and
     one fragment ends the recursion.
     """
-    k = _contract(edges, size, segments, base)
+    k, n = _contract(edges, size, segments, base)
+    if n == 1:
+        return k, None
     q = materialize(_quotient(k), "quotient")
     if q.isEmpty():
         return k, None
@@ -391,25 +395,29 @@ def descendants(pairs: DataFrame, fragment_edges: int = FRAGMENT_EDGES) -> DataF
     """(uri, descendant): every pair of a node and one that lies below it in
     one or more steps, along all parents; nodes on a cycle lie below themselves.
 
-    Pairs along paths come straight from the paths. What several parents or
-    cycles add is found in rounds over the links that paths leave out, joined
-    with the pairs found last, until no round adds a pair.
+    Pairs along paths come straight from the paths. Links that paths leave out
+    (further parents, cycles) form a graph of their own: one leads to another
+    whose child is above its parent. Over the closure of that graph, what is
+    below the first link's child is paired with what is above the last one's
+    parent, so only pairs that such links add are joined.
     """
-    h = materialize(hierarchy(pairs, fragment_edges), "hierarchy")
-    e = pairs.where("s IS NOT NULL AND o IS NOT NULL").select("s", "o").distinct()
-    along = h.where("path IS NOT NULL").select(F.explode(F.slice("path", 1, F.size("path") - 1)).alias("uri"), F.col("uri").alias("descendant"))
-    on_path = h.where("path IS NOT NULL AND size(path) > 1").select(F.element_at("path", -2).alias("o"), F.col("uri").alias("s"))
-    extra = materialize(e.join(on_path, ["s", "o"], "left_anti"), "extra-links")
-    pairs_all = materialize(along, "pairs")
+    h = materialize(hierarchy(pairs, fragment_edges).select("uri", "path", "n_parents"), "hierarchy")
+    above = F.slice("path", 1, F.size("path") - 1)
+    along = h.where("path IS NOT NULL").select(F.explode(above).alias("uri"), F.col("uri").alias("descendant"))
+    special = h.where("n_parents > 1 OR path IS NULL").select(F.col("uri").alias("s"), "path")
+    extra = pairs.where("s IS NOT NULL AND o IS NOT NULL").join(special, "s").where("path IS NULL OR element_at(path, -2) <> o").select("s", "o").distinct()
+    extra = materialize(extra.withColumn("link", F.concat_ws(SEP, "s", "o")), "extra-links")
     if extra.isEmpty():
-        return pairs_all
-    #: jump: an ancestor-or-self a of o stands above every descendant-or-self d of s
-    done = pairs_all
-    while True:
-        up = done.select(F.col("uri").alias("a"), F.col("descendant").alias("o")).unionByName(extra.select(F.col("o").alias("a"), "o")).distinct()
-        down = done.select(F.col("uri").alias("s"), F.col("descendant").alias("d")).unionByName(extra.select("s", F.col("s").alias("d"))).distinct()
-        new = extra.join(up, "o").join(down, "s").select(F.col("a").alias("uri"), F.col("d").alias("descendant")).distinct()
-        new = materialize(new.join(done, ["uri", "descendant"], "left_anti"), "new-pairs")
-        if new.isEmpty():
-            return done
-        done = materialize(done.unionByName(new), "pairs")
+        return along
+    up = extra.join(h.select(F.col("uri").alias("o"), "path"), "o").select("link", F.explode(F.coalesce("path", F.array("o"))).alias("a"))
+    up = materialize(up, "above-links")
+    leads = up.join(extra.select(F.col("s").alias("a"), F.col("link").alias("parent")), "a").select(F.col("link").alias("child"), "parent")
+    chains = all_pairs(leads).select(F.col("node").alias("low"), F.col("root").alias("high"))
+    chains = chains.unionByName(extra.select(F.col("link").alias("low"), F.col("link").alias("high"))).distinct()
+    starts = extra.select("s", F.col("link").alias("low"))
+    down = h.where("path IS NOT NULL").select(F.explode("path").alias("s"), F.col("uri").alias("d")).join(starts.select("s").distinct(), "s")
+    down = down.unionByName(starts.select("s", F.col("s").alias("d"))).distinct().join(starts, "s").select("low", "d")
+    new = down.join(chains, "low").join(up.withColumnRenamed("link", "high"), "high").select(F.col("a").alias("uri"), F.col("d").alias("descendant")).distinct()
+    known = h.select(F.col("uri").alias("descendant"), above.alias("known"))
+    new = new.join(known, "descendant").where(F.col("known").isNull() | ~F.array_contains("known", F.col("uri"))).select("uri", "descendant")
+    return along.unionByName(new)

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexmill import model as M
-from codexmill.operators.closure import closure, hops
+from codexmill.operators.closure import hops
+from codexmill.operators.hierarchy import descendants
 from codexmill.session import table
 
 
@@ -25,7 +26,13 @@ def acts(t: DataFrame) -> DataFrame:
 
 
 def _below(t: DataFrame, roots: DataFrame, star: bool) -> DataFrame:
-    return closure(part_of(t), roots, star).withColumnRenamed("node", "lagrum")
+    """(root, lagrum) along ``dct:isPartOf*`` or ``+``: pairs come from the
+    solved hierarchy, so no round trip per level of containment is needed."""
+    pairs = descendants(part_of(t).select(F.col("child").alias("s"), F.col("parent").alias("o")))
+    below = pairs.select(F.col("uri").alias("root"), F.col("descendant").alias("lagrum")).join(roots, "root", "left_semi")
+    if star:
+        below = below.where("root <> lagrum").unionByName(roots.select("root", F.col("root").alias("lagrum")))
+    return below
 
 
 def inbound_of(t: DataFrame, roots: DataFrame) -> DataFrame:

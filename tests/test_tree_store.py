@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from codexmill.operators import store, tree
-from codexmill.operators.closure import closure, closure_sql, hops
+from codexmill.operators.closure import all_pairs, closure, closure_sql, hops
 from codexmill.sources import files
 from codexmill.streaming import refresh
 from tests.conftest import rows
@@ -49,6 +49,7 @@ def test_paths(spark):
     star = rows(closure(e, roots))
     assert star == [("a", n) for n in "abcdxy"] + [("y", "x"), ("y", "y")]
     assert ("y", "y") in rows(closure(e, roots, include_roots=False)) and ("a", "a") not in rows(closure(e, roots, include_roots=False))
+    assert rows(all_pairs(e)) == sorted([(n, r) for n, r in [(n, r) for r in "abcxy" for n in "abcdxy"] if (r, n) in set(rows(closure(e, e.select(e.parent.alias("root")), False)))])
     acyclic = e.where("NOT (child = 'y' AND parent = 'x')")
     assert [r[0] for r in rows(closure_sql(spark, acyclic, "a"))] == ["a", "b", "c", "d", "x"]
     assert rows(hops(e, 2)) == [("c", "a"), ("d", "b"), ("x", "x"), ("y", "a"), ("y", "y")]
