@@ -7,7 +7,7 @@ Newton steps on the convex dual find lambda of each source; a step is one
 distributed aggregation over the histogram of text sizes, which is exact and
 much smaller than the documents. Rates are rounded to whole copies by a hash of
 the document, with a threshold per source that is refined until the copies'
-tokens meet the target to within a document.
+tokens meet the target, to within a short document.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from codexmill.session import materialize
 #: Bins of one refinement of the rounding threshold; at most this many rows a source reach the driver.
 BINS = 2048
 STEPS = 60
+FILLS = 4
 
 
 def counted(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -117,11 +118,14 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     r = used.join(state, "source").withColumn("rate", raw).withColumn("base", F.floor("rate"))
     u = F.pmod(F.xxhash64("doc_id", F.lit(20240229)), F.lit(1 << 52)) / F.lit(float(1 << 52))
     r = r.withColumn("edge", F.when(F.col("base") < F.col("cap"), u - (F.col("rate") - F.col("base"))))
-    cut = _threshold(spark, r, want)
-    cuts = spark.createDataFrame([(s, cut[s]) for s in sorted(want)] or [], "source string, cut double")
-    out = r.join(cuts, "source").select(
-        "doc_id", "source", "n_tokens", (F.col("base") + F.when(F.col("edge") < F.col("cut"), 1).otherwise(0)).cast("int").alias("copies")
-    ).where("copies > 0")
+    cuts = _cuts(spark, r, want)
+    names_ = [f"{x}{k}" for k in range(FILLS) for x in ("most", "cut")]
+    table = spark.createDataFrame([(s, *[x for pair in cuts[s] for x in pair]) for s in sorted(want)] or [], "source string, " + ", ".join(f"{n} double" for n in names_))
+    extra, since = F.lit(0), F.lit(-1.0)
+    for k in range(FILLS):
+        hit = (F.col("edge") >= since) & (F.col("edge") < F.col(f"cut{k}")) & (F.col("n_tokens") <= F.col(f"most{k}"))
+        extra, since = extra + F.when(hit, 1).otherwise(0), F.col(f"cut{k}")
+    out = r.join(table, "source").select("doc_id", "source", "n_tokens", (F.col("base") + extra).cast("int").alias("copies")).where("copies > 0")
     got = out.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("mix_tokens"))
     goal = {s: w / size for s, w in want.items()} if size else {}
     known = [(t["source"], t["target_share"], t["max_repeats"], int(have[t["source"]]["docs"]) if t["source"] in have else 0, int(tokens.get(t["source"], 0)), float(goal.get(t["source"], 0.0))) for t in rows]
@@ -133,31 +137,38 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     return out, rep
 
 
-def _threshold(spark: SparkSession, r: DataFrame, want: dict[str, float]) -> dict[str, float]:
-    """Threshold of each source on ``edge`` below which a document gets one
-    copy more: bins, then bins inside the bin where the target is crossed."""
+def _cuts(spark: SparkSession, r: DataFrame, want: dict[str, float]) -> dict[str, list[tuple[float, float]]]:
+    """Thresholds (largest size, edge) of each source: a document whose edge is
+    below the first one gets a copy more. Where the target is crossed by a long
+    document, what is missing is filled from there on by documents no longer
+    than it, again up to a threshold, and so on ``FILLS`` times. A threshold is
+    found in bins, then in bins inside the bin where the target is crossed."""
     if not want:
         return {}
     base = {x["source"]: x["t"] for x in r.groupBy("source").agg(F.sum(F.col("base") * F.col("n_tokens")).alias("t")).collect()}
-    lo, hi, below = dict.fromkeys(want, -1.0), dict.fromkeys(want, 1.0), {s: float(base.get(s) or 0) for s in want}
-    for _ in range(4):
-        box = spark.createDataFrame([(s, lo[s], hi[s]) for s in sorted(want)], "source string, lo double, hi double")
-        b = F.least(F.lit(BINS - 1), F.floor((F.col("edge") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS))
-        inside = r.join(box, "source").where("edge >= lo AND edge < hi")
-        bins: dict[str, list[tuple[int, int]]] = {s: [] for s in want}
-        for x in inside.groupBy("source", b.alias("b")).agg(F.sum("n_tokens").alias("t")).collect():
-            bins[x["source"]].append((x["b"], x["t"]))
-        for s, found in bins.items():
-            width = (hi[s] - lo[s]) / BINS
-            at = BINS
-            for k, t in sorted(found):
-                if below[s] + t > want[s]:
-                    at = k
-                    break
-                below[s] += t
-            if at == BINS:
-                lo[s] = hi[s]
-                hi[s] += width
-            else:
-                lo[s], hi[s] = lo[s] + at * width, lo[s] + (at + 1) * width
-    return lo
+    below = {s: float(base.get(s) or 0) for s in want}
+    start = dict.fromkeys(want, -1.0)
+    cuts: dict[str, list[tuple[float, float]]] = {s: [] for s in want}
+    for k in range(FILLS):
+        most = {s: want[s] - below[s] if k else math.inf for s in want}
+        lo, hi = dict(start), dict.fromkeys(want, 1.0)
+        for _ in range(4):
+            box = spark.createDataFrame([(s, lo[s], hi[s], most[s]) for s in sorted(want)], "source string, lo double, hi double, most double")
+            b = F.least(F.lit(BINS - 1), F.floor((F.col("edge") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS))
+            inside = r.join(box, "source").where("edge >= lo AND edge < hi AND n_tokens <= most")
+            bins: dict[str, list[tuple[int, int]]] = {s: [] for s in want}
+            for x in inside.groupBy("source", b.alias("b")).agg(F.sum("n_tokens").alias("t")).collect():
+                bins[x["source"]].append((x["b"], x["t"]))
+            for s, found in bins.items():
+                width = (hi[s] - lo[s]) / BINS
+                at = None
+                for i, t in sorted(found):
+                    if below[s] + t > want[s]:
+                        at = i
+                        break
+                    below[s] += t
+                lo[s], hi[s] = (hi[s], hi[s] + width) if at is None else (lo[s] + at * width, lo[s] + (at + 1) * width)
+        for s in want:
+            cuts[s].append((most[s], lo[s]))
+            start[s] = lo[s]
+    return cuts

@@ -78,7 +78,8 @@ TARGETS = [("a", 0.5, 2), ("b", 0.3, 1), ("c", 0.15, 3), ("gone", 0.05, 4)]
 
 def mixed(spark, source, targets=TARGETS, **kw):
     t = spark.createDataFrame(targets, "source string, target_share double, max_repeats int")
-    out, rep = mixing.mix(frame(spark, source), t, **kw)
+    docs = frame(spark, source).where("text IS NULL OR length(text) < 50000")
+    out, rep = mixing.mix(docs, t, **kw)
     return out.collect(), {r["source"]: r for r in rep.collect()}
 
 
@@ -94,7 +95,7 @@ def test_mix_meets_shares(spark):
     biggest = max(r["n_tokens"] for r in out)
     for s, share, _ in TARGETS[:3]:
         assert rep[s]["wanted_share"] == pytest.approx(share / 0.95)
-        assert abs(rep[s]["mix_tokens"] - rep[s]["wanted_share"] * total) <= 2 * biggest
+        assert abs(rep[s]["mix_tokens"] - rep[s]["wanted_share"] * total) <= 100 < biggest
         assert rep[s]["actual_share"] == pytest.approx(rep[s]["mix_tokens"] / total)
     assert rep["gone"]["mix_tokens"] == 0 and rep["gone"]["documents"] == 0
 
@@ -106,7 +107,7 @@ def test_total_beyond_the_caps_gives_all(spark):
 
 def test_smaller_total_prefers_whole_numbers_of_copies(spark):
     out, rep = mixed(spark, by, total_tokens=20000.0)
-    assert sum(r["mix_tokens"] for r in rep.values()) == pytest.approx(20000, abs=3 * 400)
+    assert sum(r["mix_tokens"] for r in rep.values()) == pytest.approx(20000, abs=100)
 
 
 def test_mix_without_documents(spark):
