@@ -100,3 +100,10 @@ def inlined_blank_nodes(triples: DataFrame) -> DataFrame:
     nodes = triples.where("s LIKE '\\_:%'").select(F.col("s").alias("bnode")).distinct()
     refs = triples.where("o_kind = 'bnode'").groupBy(F.concat(F.lit("_:"), "o").alias("bnode")).agg(F.count("*").alias("refs"))
     return nodes.join(refs, "bnode", "left").select("bnode", F.coalesce("refs", F.lit(0)).alias("refs"), (F.coalesce("refs", F.lit(0)) < 2).alias("inlined"))
+
+
+def labelled(triples: DataFrame, *predicates: str) -> DataFrame:
+    """(label, uri): dictionary of what the given predicates call a resource,
+    such as short titles of acts or names of organisations. A label that
+    several resources share belongs to the smallest."""
+    return triples.where(F.col("p").isin(*predicates)).groupBy(F.col("o").alias("label")).agg(F.min("s").alias("uri"))
