@@ -37,7 +37,7 @@ def composed(c: Column) -> Column:
 def number_pair(basefile: Column) -> Column:
     """'year:number' as integers, without leading zeros or surroundings; NULL
     when there aren't two numbers."""
-    part = lambda i: F.regexp_extract(basefile, r"(\d+)\s*:\s*(\d+)", i)
+    part = lambda i: F.regexp_extract(basefile, r"(\d{4})\D+(\d+)", i)
     plain = lambda i: F.regexp_replace(part(i), "^0+(?=\\d)", "")
     return F.when(part(1) != "", F.concat_ws(":", plain(1), plain(2)))
 

@@ -10,8 +10,8 @@ WITH parts AS (
 ), packed AS (
   SELECT record_id, string_agg(name || '=' || value, ';' ORDER BY name, value) AS body FROM fields WHERE name <> '' AND value <> '' GROUP BY record_id
 ), numbered AS (
-  SELECT record_id, CAST(TRY_CAST(regexp_extract(basefile, '(\d+)\s*:\s*(\d+)', 1) AS BIGINT) AS VARCHAR) || ':' ||
-    CAST(TRY_CAST(regexp_extract(basefile, '(\d+)\s*:\s*(\d+)', 2) AS BIGINT) AS VARCHAR) AS number FROM direktiv_records
+  SELECT record_id, CAST(TRY_CAST(regexp_extract(basefile, '(\d{4})\D+(\d+)', 1) AS BIGINT) AS VARCHAR) || ':' ||
+    CAST(TRY_CAST(regexp_extract(basefile, '(\d{4})\D+(\d+)', 2) AS BIGINT) AS VARCHAR) AS number FROM direktiv_records
 ), grouped AS (
   SELECT n.record_id, n.number, min(n.record_id) OVER g AS first_id, count(*) OVER g AS n_copies
   FROM numbered n LEFT JOIN packed p USING (record_id) WINDOW g AS (PARTITION BY n.number, p.body)
