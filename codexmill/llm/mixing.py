@@ -26,6 +26,8 @@ from codexmill.session import materialize
 BINS = 2048
 STEPS = 60
 FILLS = 4
+#: A total of as many tokens as the sources of the mix hold.
+AVAILABLE = "available"
 
 
 def counted(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -39,19 +41,30 @@ def counted(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     return docs.select("doc_id", "source", "text").mapInPandas(count, "doc_id bigint, source string, n_tokens bigint")
 
 
-def plan(targets: list[dict], tokens: dict[str, int], total: float | None = None) -> tuple[dict[str, float], float]:
-    """(wanted tokens by source, total). Shares of sources without tokens go
-    to the others in proportion. Without a given total it is the largest at
-    which no source needs more than its allowed repeats; with one, sources
-    that can't reach their share give all that they may."""
+def plan(targets: list[dict], tokens: dict[str, int], total: float | str | None = None) -> tuple[dict[str, float], dict[str, float]]:
+    """(wanted tokens, wanted share) by source. Shares of sources without tokens
+    go to the others in proportion. With a total (``AVAILABLE``: the tokens of
+    all sources that may be used) sources that can't reach their share give all
+    that they may and the others fill the rest in proportion, which of all mixes
+    of that size is the closest (in relative entropy) to the shares. Without a
+    total it is the largest at which no source needs more than its repeats."""
     live = {t["source"]: t for t in targets if tokens.get(t["source"], 0) > 0 and (t["target_share"] or 0) > 0 and (t["max_repeats"] or 0) > 0}
     whole = sum(t["target_share"] for t in live.values())
-    if not live:
-        return {}, 0.0
     share = {s: t["target_share"] / whole for s, t in live.items()}
     most = {s: t["max_repeats"] * tokens[s] for s, t in live.items()}
-    size = total if total is not None else min(most[s] / share[s] for s in live)
-    return {s: min(most[s], share[s] * size) for s in live}, size
+    if total is None:
+        size = min((most[s] / share[s] for s in live), default=0.0)
+        return {s: min(most[s], share[s] * size) for s in live}, share
+    left = float(sum(tokens[s] for s in live) if total == AVAILABLE else total)
+    want: dict[str, float] = {}
+    while rest := sorted(live.keys() - want.keys()):
+        part = left / sum(share[s] for s in rest)
+        full = [s for s in rest if most[s] <= part * share[s]]
+        if not full:
+            return want | {s: part * share[s] for s in rest}, share
+        want |= {s: float(most[s]) for s in full}
+        left -= sum(most[s] for s in full)
+    return want, share
 
 
 def tilt(spark: SparkSession, hist: DataFrame, want: dict[str, float], cap: dict[str, int], tokens: dict[str, int], scale: float) -> dict[str, float]:
@@ -89,14 +102,14 @@ def tilt(spark: SparkSession, hist: DataFrame, want: dict[str, float], cap: dict
     return lam
 
 
-def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | str | None = None, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
     """(copies, report).
 
     copies: doc_id, source, n_tokens, copies (1 to max_repeats) of documents
     that are in the mix. report: a row for each source of ``targets`` with
     target_share, max_repeats, documents, tokens, mix_tokens, actual_share and
     wanted_share (the target after the shares of empty sources went to the
-    others). ``targets`` is a table of settings with one row a source: it is
+    others; above actual_share where the repeats don't allow it). ``targets`` is a table of settings with one row a source: it is
     read to the driver. Documents whose source is NULL or not a target, and
     those without tokens, are not used. Sources without documents report 0.
     """
@@ -109,7 +122,7 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     hist = materialize(used.groupBy("source", "n_tokens").agg(F.count("*").alias("docs")), "sizes")
     have = {r["source"]: r for r in hist.groupBy("source").agg(F.sum(F.col("docs") * F.col("n_tokens")).alias("tokens"), F.sum("docs").alias("docs")).collect()}
     tokens = {s: r["tokens"] for s, r in have.items()}
-    want, size = plan(rows, tokens, total_tokens)
+    want, goal = plan(rows, tokens, total_tokens)
     cap = {r["source"]: r["max_repeats"] for r in rows}
     scale = sum(tokens.values()) / max(1, sum(r["docs"] for r in have.values())) or 1.0
     lam = tilt(spark, hist, want, cap, tokens, scale)
@@ -127,7 +140,6 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
         extra, since = extra + F.when(hit, 1).otherwise(0), F.col(f"cut{k}")
     out = r.join(table, "source").select("doc_id", "source", "n_tokens", (F.col("base") + extra).cast("int").alias("copies")).where("copies > 0")
     got = out.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("mix_tokens"))
-    goal = {s: w / size for s, w in want.items()} if size else {}
     known = [(t["source"], t["target_share"], t["max_repeats"], int(have[t["source"]]["docs"]) if t["source"] in have else 0, int(tokens.get(t["source"], 0)), float(goal.get(t["source"], 0.0))) for t in rows]
     rep = spark.createDataFrame(known, "source string, target_share double, max_repeats int, documents bigint, tokens bigint, wanted_share double")
     rep = rep.join(got, "source", "left").withColumn("mix_tokens", F.coalesce("mix_tokens", F.lit(0)))

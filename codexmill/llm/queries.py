@@ -51,7 +51,7 @@ def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"), mixing.AVAILABLE)
 
 
 def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,24 @@ def test_total_beyond_the_caps_gives_all(spark):
     assert all(r["copies"] == {s: m for s, _, m in TARGETS}[r["source"]] for r in out)
 
 
+def test_scarce_source_does_not_shrink_the_mix(spark):
+    scarce = lambda i: "c" if i == 2 else "a" if i % 2 else "b"
+    out, rep = mixed(spark, scarce, total_tokens=mixing.AVAILABLE)
+    have = {s: r["tokens"] for s, r in rep.items()}
+    assert rep["c"]["documents"] == 1 and rep["c"]["mix_tokens"] == 3 * have["c"] and rep["c"]["actual_share"] < rep["c"]["wanted_share"] == pytest.approx(0.15 / 0.95)
+    assert sum(r["mix_tokens"] for r in rep.values()) == pytest.approx(sum(have.values()), abs=200)
+    assert rep["a"]["mix_tokens"] / rep["b"]["mix_tokens"] == pytest.approx(0.5 / 0.3, rel=0.02)
+
+
+def test_rest_of_the_mix_is_filled_in_proportion():
+    t = [{"source": s, "target_share": p, "max_repeats": m} for s, p, m in (("a", 0.5, 2), ("b", 0.3, 1), ("c", 0.2, 3), ("gone", 0.5, 1))]
+    want, share = mixing.plan(t, {"a": 900, "b": 90, "c": 10}, mixing.AVAILABLE)
+    assert want == pytest.approx({"a": 880, "b": 90, "c": 30}) and share == pytest.approx({"a": 0.5, "b": 0.3, "c": 0.2})
+    assert mixing.plan(t, {"a": 900, "b": 90, "c": 10}, 1e9)[0] == {"a": 1800, "b": 90, "c": 30}
+    assert mixing.plan(t, {"a": 900, "b": 90, "c": 10})[0] == pytest.approx({"a": 75, "b": 45, "c": 30})
+    assert mixing.plan(t, {}, mixing.AVAILABLE) == ({}, {})
+
+
 def test_smaller_total_prefers_whole_numbers_of_copies(spark):
     out, rep = mixed(spark, by, total_tokens=20000.0)
     assert sum(r["mix_tokens"] for r in rep.values()) == pytest.approx(20000, abs=100)

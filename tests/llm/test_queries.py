@@ -18,6 +18,14 @@ def test_runs(spark, name):
     assert queries.QUERIES[name](spark, oracle.SF).count() > 0
 
 
+def test_registered_mix_is_as_large_as_the_corpus(spark):
+    rep = queries.p7_report(spark, oracle.SF).where("wanted_share > 0").collect()
+    have = sum(r["tokens"] for r in rep)
+    assert sum(r["mix_tokens"] for r in rep) == pytest.approx(have, rel=0.01)
+    for r in rep:
+        assert r["actual_share"] > r["wanted_share"] - 0.01 or r["mix_tokens"] == r["max_repeats"] * r["tokens"]
+
+
 def test_core_imports_nothing_from_here():
     import pathlib
 
