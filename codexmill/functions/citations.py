@@ -29,6 +29,13 @@ REPORT = r"\b[Bb]et\. ([0-9]{4}/[0-9]{2,4}:[A-Z][A-Za-z]+[0-9]+)"
 LETTER = r"\b[Rr]skr\. ([0-9]{4}/[0-9]{2,4}:[0-9]+)"
 CELEX = r"\b(3[0-9]{4}[A-Z][0-9]{4}|3[0-9]{2}[A-Z][0-9]{4})\b"
 ACT = r"\(([0-9]{4}:[0-9]+)\)"
+#: Java only: a bare number, numbers of other series (SOU, SKVFS, dir.) with those listed after them, EU cases.
+NAKED = r"(?<![0-9:/])([0-9]{4}:[0-9]+)(?![0-9]|[:/][0-9])"
+SERIES = (
+    r"(?<!\p{L})(?!(?:SFS|LAG|BALK|OCH)\s*[0-9])(?:[\p{Lu}-]*\p{Lu}FS|\p{Lu}{2,4}|(?:Ds|[Dd]ir|[Pp]rop|[Bb]et|[Rr]?[Ss]kr)\.?)\s*[0-9]{4}:[0-9]+"
+    r"(?:(?:, | och | samt | eller )[0-9]{4}:[0-9]+)*"
+)
+ECJ = r"(?<![\p{L}0-9])([CTF][-\x{2011}][0-9]+/[0-9]{2})(?![0-9])"
 
 
 def all_of(text: Column, pattern: str, group: int) -> Column:
@@ -55,6 +62,18 @@ def acts(text: Column, base: str = BASE) -> Column:
     return F.transform(all_of(text, ACT, 1), lambda x: F.concat(F.lit(f"{base}/sfs/"), x))
 
 
+def naked(text: Column, base: str = BASE) -> Column:
+    """URIs of acts by bare number, with or without "SFS", that no other rule
+    claims and that isn't the number of another series."""
+    rest = F.regexp_replace(text, "|".join((SERIES, CASE, BILL, REPORT, LETTER, CELEX, ACT)), " ")
+    return F.transform(all_of(rest, NAKED, 1), lambda x: F.concat(F.lit(f"{base}/sfs/"), x))
+
+
+def eu_cases(text: Column, ext: str = EXT) -> Column:
+    """URIs of EU cases; their hyphen may be one that doesn't break."""
+    return F.transform(all_of(text, ECJ, 1), lambda x: F.concat(F.lit(f"{ext}/ecj/"), F.translate(x, "\u2011", "-")))
+
+
 _NR = r"\d+(?:\s?[a-z]\b)?"
 _ACT_TITLE = r"(?:\w+\s)?\w*(?:lagen|förordningen|balken|lag|förordning|balk)"
 _TOKEN = re.compile(

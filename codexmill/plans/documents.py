@@ -233,6 +233,14 @@ def citation_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select(F.explode(found).alias("uri")).groupBy("uri").agg(F.count("*").alias("n"))
 
 
+def citation_extract_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``citation_extract`` with bare numbers of acts and EU cases, which its SQL
+    has not: every rule that needs no memory."""
+    t = F.col("text")
+    found = F.concat(C.cases(t), C.publications(t), C.acts(t), C.naked(t), C.eu_cases(t))
+    return _docs(spark, sf_dir).select(F.explode(found).alias("uri")).groupBy("uri").agg(F.count("*").alias("n"))
+
+
 def celex_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CELEX-like numbers made of case numbers: the corpus itself holds none."""
     d = table(spark, sf_dir, "dv_cases").select(F.substring("artal", 3, 2).alias("yy"), "artal", "case_id").where("artal IS NOT NULL").distinct()
@@ -300,7 +308,7 @@ _QUERIES = (
     uri_parse, uri_construct, uri_roundtrip, uri_parts, segment_lines, segment_paragraphs, segment_positions, peek_prev, cue_readto, truncate_desc, string_functions,
     slug, short_urls, pdf_rule, title_fallback, amendment_list, toc_projection, asof_version, paragraph_markers, first_paragraph, type_dispatch, part_of_emitted,
     heading_numbering, anchor_dedup, first_repo_wins, newest_only, repository_paths, index_grouping, news_trailing_30d, collection_include, delete_subject, graph_merge,
-    grit_group, n_triples, citation_extract, celex_normalise, citation_linked, definitions, amendment_notes, structure_nodes, markup_inline, markup_full, wiki_links,
+    grit_group, n_triples, citation_extract, citation_extract_all, celex_normalise, citation_linked, definitions, amendment_notes, structure_nodes, markup_inline, markup_full, wiki_links,
     quarantine, tally, top_cited,
 )
 QUERIES = {f.__name__: f for f in _QUERIES}

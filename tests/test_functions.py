@@ -79,6 +79,30 @@ def test_citation_runs_concatenate(text):
     assert "".join(t for t, _ in C.runs(text)) == text
 
 
+BARE = [
+    ("1998:204", ["1998:204"]),
+    ("SFS 1980:855\nRubrik: Lag (SFS 1985:206), 1990:1: se", ["1980:855", "1985:206", "1990:1"]),
+    ("enligt lag 1998:204 och 1942:740.", ["1998:204", "1942:740"]),
+    ("LAG 1998:204", ["1998:204"]),
+    ("(1998:204) prop. 1982:135 s. 2, Ds 1999:3, dir. 2001:4, RÅ 1995:6, NJA 1998:7", []),
+    ("SOU 1965:115, 1966:3 och 1967:8, SKVFS 2005:12, HSLF-FS 2015:3, prop. 1999/2000:12", []),
+    ("http://x.example/sfs/1998:204, 11998:204, 1998:204:3", []),
+    (None, None),
+]
+
+
+def test_bare_numbers_of_acts(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(BARE)], "i int, t string")
+    got = {r[0]: r[1] for r in df.select("i", C.naked(F.col("t"))).collect()}
+    assert [got[i] for i in range(len(BARE))] == [w if w is None else [f"{BASE}/sfs/{x}" for x in w] for _, w in BARE]
+
+
+def test_eu_cases(spark):
+    text = "By order in Case F\u201123/07 M v EMEA, Case C\u2011197/09 RX\u2011II and C-176/09, not AC-1/09 nor T-1/2009"
+    got = spark.createDataFrame([(text,)], "t string").select(C.eu_cases(F.col("t"))).collect()[0][0]
+    assert got == [f"{C.EXT}/ecj/{x}" for x in ("F-23/07", "C-197/09", "C-176/09")]
+
+
 def test_simple_citations_as_columns(spark):
     df = spark.createDataFrame([("se NJA 1998 s. 14 och AD 2008 nr 28, prop. 1996/97:85 och 392L0100 (1998:204)",), (None,), ("",)], "t string")
     got = df.select(C.cases(F.col("t")), C.publications(F.col("t")), C.acts(F.col("t"))).collect()

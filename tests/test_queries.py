@@ -1,4 +1,6 @@
 import os
+import re
+from collections import Counter
 
 import pytest
 
@@ -25,6 +27,21 @@ def test_runs(spark, name):
     assert QUERIES[name](spark, oracle.SF).count() > 0
 
 
+def test_bare_numbers_in_documents_against_brute_force(spark, con):
+    """Every number in a text is an act's, unless a name of something else
+    stands before it. The smallest tables hold no bare numbers."""
+    sf = os.path.join(os.path.dirname(oracle.SF), "sf0.01")
+    want = Counter()
+    for (text,) in con.execute(f"SELECT text FROM '{sf}/documents.parquet' WHERE text IS NOT NULL").fetchall():
+        for m in re.finditer("[0-9]{4}:[0-9]+", text):
+            word = re.split(r"[\s(]", text[: m.start()].rstrip(" "))[-1]
+            want[m[0]] += word not in ("prop.", "Prop.", "SOU", "Ds", "dir.", "RÅ", "RH", "MD", "HFD", "AD", "NJA")
+    got = QUERIES["citation_extract_all"](spark, sf).where("contains(uri, '/publ/sfs/')").collect()
+    assert {r["uri"].rpartition("/")[2]: r["n"] for r in got} == dict(+want)
+    before = QUERIES["citation_extract"](spark, sf).where("contains(uri, '/publ/sfs/')").groupBy().sum("n").collect()[0][0]
+    assert sum(want.values()) > before
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
