@@ -7,7 +7,10 @@ Newton steps on the convex dual find lambda of each source; a step is one
 distributed aggregation over the histogram of text sizes, which is exact and
 much smaller than the documents. Rates are rounded to whole copies by a hash of
 the document, with a threshold per source that is refined until the copies'
-tokens meet the target, to within a short document.
+tokens meet the target, to within a short document. Documents are whole and a
+target is never exceeded: a document longer than what its source may give stays
+out, shorter ones fill its place, and where there are none the source falls
+short by what is left.
 """
 
 from __future__ import annotations

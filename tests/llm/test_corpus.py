@@ -100,6 +100,26 @@ def test_mix_meets_shares(spark):
     assert rep["gone"]["mix_tokens"] == 0 and rep["gone"]["documents"] == 0
 
 
+@pytest.mark.parametrize("total", [20000.0, 100000.0])
+def test_mix_with_a_text_longer_than_its_source_may_give(spark, total):
+    """The long text stays out, shorter ones fill the share as far as they go;
+    a source of nothing but the long text gives none and reports the shortfall."""
+    alone = 307
+    assert len(texts()[alone]) == 120000
+    source = lambda i: "only" if i == alone + 1000 else by(i)
+    docs = frame(spark, source).unionByName(spark.createDataFrame([(alone + 1000, "only", texts()[alone], 1, "c")], SCHEMA))
+    rows_ = [("a", 0.5, 2), ("b", 0.3, 1), ("c", 0.15, 3), ("only", 0.05, 4)]
+    out, rep = mixing.mix(docs, spark.createDataFrame(rows_, "source string, target_share double, max_repeats int"), total)
+    used, rep = {r["doc_id"] for r in out.collect()}, {r["source"]: r for r in rep.collect()}
+    want, _ = mixing.plan([{"source": s, "target_share": p, "max_repeats": m} for s, p, m in rows_], {s: r["tokens"] for s, r in rep.items()}, total)
+    long = rep["only"]["tokens"]
+    assert long > max(want["b"], want["only"]) and not used & {alone, alone + 1000}
+    assert rep["only"]["mix_tokens"] == 0 and rep["only"]["wanted_share"] == pytest.approx(0.05)
+    for s in "abc":
+        most = min(want[s], {x: m for x, _, m in rows_}[s] * (rep[s]["tokens"] - (long if s == "b" else 0)))
+        assert most - 100 <= rep[s]["mix_tokens"] <= want[s]
+
+
 def test_total_beyond_the_caps_gives_all(spark):
     out, rep = mixed(spark, by, total_tokens=1e9)
     assert all(r["copies"] == {s: m for s, _, m in TARGETS}[r["source"]] for r in out)
