@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import configparser
+import difflib
+import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,8 +76,12 @@ def query_results(spark: SparkSession, path: str, variables: list[str]) -> DataF
     and every value is text."""
     binding = "struct<_name string, uri string, literal struct<_VALUE string>, bnode string>"
     x = spark.read.format("xml").option("rowTag", "result").schema(f"binding array<{binding}>").load(path)
-    value = lambda b: F.coalesce(b["uri"], b["literal"]["_VALUE"], b["bnode"])
-    return x.select(*[F.try_element_at(F.transform(F.filter("binding", lambda b, v=v: b["_name"] == v), value), F.lit(1)).alias(v) for v in variables])
+
+    def value(of: str) -> Column:
+        named = F.filter("binding", lambda b: b["_name"] == of)
+        return F.try_element_at(F.transform(named, lambda b: F.coalesce(b["uri"], b["literal"]["_VALUE"], b["bnode"])), F.lit(1)).alias(of)
+
+    return x.select(*map(value, variables))
 
 
 def turtle_lines(lines: DataFrame, g: str) -> DataFrame:
@@ -143,8 +150,6 @@ def applied(original: str | None, diff: str | None) -> str | None:
     """Text with a unified diff applied; a hunk that does not fit is an error."""
     if original is None or not diff:
         return original
-    import re
-
     src, out, at = original.split("\n"), [], 0
     hunk = None
     for line in diff.split("\n"):
@@ -166,7 +171,6 @@ def applied(original: str | None, diff: str | None) -> str | None:
 def patched(docs: DataFrame, patches: DataFrame) -> DataFrame:
     """Documents (source, basefile, text) with their patches (source, basefile,
     diff, description) applied; ``description`` goes downstream with the text."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def patch(text: pd.Series, diff: pd.Series) -> pd.Series:
@@ -178,9 +182,6 @@ def patched(docs: DataFrame, patches: DataFrame) -> DataFrame:
 
 def diffs(docs: DataFrame) -> DataFrame:
     """(source, basefile, diff) between ``text`` and ``edited``; none if equal."""
-    import difflib
-
-    import pandas as pd
 
     @F.pandas_udf("string")
     def diff(a: pd.Series, b: pd.Series) -> pd.Series:

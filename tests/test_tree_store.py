@@ -83,7 +83,10 @@ def test_turtle(spark):
     text = '@prefix a: <x> .\n<http://x/1> rdfs:label "Jordabalk"@sv ;\n  dct:alternate "JB" .\n# c\n<http://x/2> a foaf:Organization ;\n  owl:sameAs <http://x/3> .'
     lines = spark.createDataFrame(list(enumerate(text.split("\n"))), "pos int, value string")
     got = rows(files.turtle_lines(lines, "g").select("s", "p", "o", "o_kind", "o_lang"))
-    assert got == [("http://x/1", "dct:alternate", "JB", "literal", None), ("http://x/1", "rdfs:label", "Jordabalk", "literal", "sv"), ("http://x/2", "rdf:type", "foaf:Organization", "uri", None), ("http://x/2", "owl:sameAs", "http://x/3", "uri", None)]
+    assert got == [
+        ("http://x/1", "dct:alternate", "JB", "literal", None), ("http://x/1", "rdfs:label", "Jordabalk", "literal", "sv"),
+        ("http://x/2", "owl:sameAs", "http://x/3", "uri", None), ("http://x/2", "rdf:type", "foaf:Organization", "uri", None),
+    ]
 
 
 def test_readers(spark, tmp_path):
