@@ -1,9 +1,11 @@
 """Pages of strung-together keywords, link lists and product tags.
 
-Each line is cut into statements and each statement reduced to a shape: its
-kind and how many words, function words, capitals, separators and links it has,
-in coarse steps. Shapes are grouped by document, and a page is flagged when a
-few shapes that are no sentences hold most of its text.
+Each line is cut into statements and each statement reduced to a shape: how many
+words, function words, capitals, separators, numbers and links it has, in coarse
+steps, and how it begins and ends. The shape alone says whether its statements
+are sentences, entries of a table or none of these. Shapes are grouped by
+document, and a page is flagged when those that are no sentences hold most of
+its text; how few shapes do so is measured by their effective number.
 """
 
 from __future__ import annotations
@@ -11,9 +13,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Frequent Swedish and English function words.
@@ -29,70 +33,139 @@ FUNCTION_WORDS = frozenset(
     """.split()
 )
 WORD = re.compile(r"[^\W\d_]+")
-URL = re.compile(r"(?:https?://|www\.)\S+")
+#: With a scheme, or a bare host name.
+URL = re.compile(r"(?:https?://|www\.)[^\s<>\"']+|(?<![\w@./-])[\w-]{3,}(?:\.[\w-]{2,})*\.[a-z]{2,}(?![\w@-])")
+_MAY_LINK = re.compile(r"\w\.[a-z]{2}|://|www|<|\]\(")
+#: A link with its text, in HTML or Markdown.
+ANCHOR = re.compile(r"<a\s[^<>]*>(.*?)</a\s*>|\[([^\[\]]*)\]\((?:https?://|www\.)[^()\s]*\)", re.IGNORECASE)
+TAG = re.compile(r"</?[a-z][^<>]*>", re.IGNORECASE)
+#: HTML elements that begin or end a line.
+BREAK = re.compile(r"</?(?:li|p|br|div|ul|ol|tr|td|th|table|h[1-6])\b[^<>]*>", re.IGNORECASE)
 NUMBER = re.compile(r"\d+")
 NOT_YEAR = re.compile(r"(?<!\d)(?!(?:19|20)\d\d(?!\d))\d+")
 CAPITAL = re.compile(r"\b[A-ZÅÄÖ]")
 PRICE = re.compile(r"\d\s?(?:kr|:-)(?!\w)|★|☆|\bart\.?\s?nr\b|[€$£]\s?\d|\d\s?[€$£]", re.IGNORECASE)
-#: A link belongs to the title before it.
+#: A link belongs to the title before it, and what begins anew after a link is another statement.
 STATEMENT = re.compile(r"(?<=[.!?])\s+(?!https?://|www\.)(?=[^\W\d_]|[#\[*•])")
-#: One title, however worded, and one link after it; a link inside of a sentence is none.
-TITLED = re.compile(r"[^.!?]*[.!?]\s+(?:https?://|www\.)\S+$")
+AFTER_LINK = re.compile(r"((?:https?://|www\.)\S+|\((?:[\w-]+\.)+[a-z]{2,}\))\s+(?=[A-ZÅÄÖ])")
+#: A link at the end of a statement, and what stands before it.
+LAST_LINK = re.compile(r"^(.*?)\s*\(?((?:https?://|www\.)\S+?|(?<![\w@./-])[\w-]{3,}(?:\.[\w-]{2,})*\.[a-z]{2,})\)?$")
 #: Beginnings of entries of registers, tables, contents and statutes.
 ENTRY = re.compile(r"\s*(?:\d{1,3}(?:\.\d+)*[.;|)\t ]|\d+ ?[a-z]? ?(?:§|kap\b)|[A-ZÅÄÖ][^\s:|]*(?: [^\s:|]+)?:\s(?!\s*http)|(?:section|chapter|art(?:icle|ikel)?)\s\d)", re.IGNORECASE)
 LEADER = re.compile(r"\.{4,}\s*\d+\s*$")
-#: A page with fewer characters, or fewer words and links, is too short to tell.
-LEAST_CHARS, LEAST_UNITS = 80, 3
-#: Shapes that count as few, and their share of the text that flags a page.
-FEW_SHAPES, MOST = 12, 0.5
+#: A page with fewer characters is too short to tell.
+LEAST_CHARS = 80
+#: Share of a page's text in shapes that are no sentences that flags it.
+MOST = 0.5
 SENTENCE, NEUTRAL = "sentence", "entry"
 
 
+class Shape(NamedTuple):
+    """Counts in coarse steps, shares in steps of ``_share``, flags as 0 or 1."""
+
+    words: int
+    capitals: int
+    separators: int
+    links: int
+    functions: int
+    """Share of function words: 0 up to a tenth, 1 below 0.15, 2 from there on."""
+    linked: int
+    """What links are to the statement: 0 none or a part of it, 1 its end, below a title, 2 most of it."""
+    numbers: int
+    tags: int
+    entry: int
+    price: int
+    stop: int
+
+    @property
+    def kind(self) -> str:
+        if self.linked:
+            return "links"
+        if self.tags:
+            return "tags"
+        if self.entry:
+            return NEUTRAL
+        if self.price:
+            return "products"
+        if self.numbers:
+            return NEUTRAL
+        if self.functions == 0 and self.words:
+            return "keywords"
+        return SENTENCE
+
+
 def _step(n: int) -> int:
     return n if n < 4 else 4 if n < 7 else 5 if n < 15 else 6 if n < 40 else 7
 
 
-def _kind(s: str, n: int, fw: int, numbers: int, urls: list[str]) -> str:
-    if urls and fw <= 0.1 * n and (len(urls) >= 3 or sum(map(len, urls)) >= 0.4 * len(s)):
-        return "links"
-    if urls and TITLED.match(s) and s[-1] != "." and len(urls[0]) >= 0.3 * len(s):
-        return "links"
+def _linked(s: str, n: int, fw: int, urls: list[str], anchors: list[str]) -> int:
+    if anchors and sum(map(len, anchors)) >= 0.6 * len(s):
+        return 2
+    if not urls:
+        return 0
+    if fw <= 0.1 * n and (len(urls) >= 3 or sum(map(len, urls)) >= 0.4 * len(s)):
+        return 2
+    m = LAST_LINK.match(s) if s[-1] != "." and len(urls) == 1 else None
+    if m and m[1] and len(m[2]) >= 0.15 * len(s) and not m[1].endswith(","):
+        last = WORD.findall(m[1].lower())[-1:]
+        parted = m[1][-1] in ".!?:)-–" or s[-1] == ")"
+        if parted or (last and last[0] not in FUNCTION_WORDS and len(m[2]) >= 0.3 * len(s)):
+            return 1
+    return 0
+
+
+def _statements(text: str) -> Iterator[tuple[str, bool]]:
+    """(statement, whether it may hold links or markup)."""
+    for line in (BREAK.sub("\n", text) if "<" in text else text).split("\n"):
+        line = line.strip()
+        if not line:
+            continue
+        rich = _MAY_LINK.search(line) is not None
+        for s in STATEMENT.split(line):
+            if rich:
+                yield from ((x, True) for x in AFTER_LINK.sub(r"\1\n", s).split("\n") if x)
+            elif s:
+                yield s, False
+
+
+@lru_cache(maxsize=100_000)
+def _named(shape: Shape) -> tuple[str, str]:
+    return "".join(map(str, shape)), shape.kind
+
+
+def reduced(s: str, rich: bool = True) -> tuple[Shape, list[str]]:
+    """The shape of a statement and its words; without ``rich`` links and markup
+    are not looked for."""
+    visible, urls, anchors = s, [], []
+    if rich:
+        anchors = [a or b for a, b in ANCHOR.findall(s)]
+        visible = TAG.sub("", ANCHOR.sub(r"\1\2", s)) if anchors or "<" in s else s
+        urls = URL.findall(visible)
+    bare = URL.sub(" ", visible) if urls else visible
+    words = WORD.findall(bare.lower())
+    n, fw = len(words), sum(map(FUNCTION_WORDS.__contains__, words))
     tags = s.count("#")
-    if tags >= 2 and tags >= 0.2 * n:
-        return "tags"
-    if ENTRY.match(s) or (s[-1].isdigit() and LEADER.search(s)):
-        return NEUTRAL
-    if fw < 0.15 * n and PRICE.search(s):
-        return "products"
-    if numbers and numbers >= 0.3 * n:
-        return NEUTRAL
-    if fw <= 0.1 * n and n:
-        return "keywords"
-    return SENTENCE
+    seps = s.count(",") + s.count(";") + s.count("|") + s.count("•") + s.count("/") + s.count("\t")
+    end = s[-1]
+    shape = Shape(
+        _step(n), _step(len(CAPITAL.findall(bare))), _step(seps), _step(len(urls) + len(anchors)),
+        0 if fw <= 0.1 * n else 1 if fw < 0.15 * n else 2, _linked(visible, n, fw, urls, anchors) if rich and visible else 0,
+        int(NUMBER.search(bare) is not None and len(NOT_YEAR.findall(bare)) >= max(1, 0.3 * n)), int(tags >= 2 and tags >= 0.2 * n),
+        int(ENTRY.match(s) is not None or (end.isdigit() and LEADER.search(s) is not None)), int(fw < 0.15 * n and PRICE.search(s) is not None), int(end in ".!?"),
+    )
+    return shape, words
 
 
 def shapes(text: str) -> Iterator[tuple[str, str, int]]:
     """(shape, kind, characters) of every statement of a text."""
     found = []
     total, distinct = 0, set()
-    is_function = FUNCTION_WORDS.__contains__
-    for line in text.split("\n"):
-        line = line.strip()
-        if not line:
-            continue
-        for s in STATEMENT.split(line):
-            urls = URL.findall(s) if "://" in s or "www." in s else []
-            bare = URL.sub(" ", s) if urls else s
-            words = WORD.findall(bare.lower())
-            n = len(words)
-            fw = sum(map(is_function, words))
-            numbers = len(NOT_YEAR.findall(bare))
-            kind = _kind(s, n, fw, numbers, urls)
-            total += n
-            distinct.update(words)
-            seps = s.count(",") + s.count(";") + s.count("|") + s.count("•") + s.count("/") + s.count("\t")
-            shape = f"{_step(n)}w{_step(fw)}f{_step(len(CAPITAL.findall(bare)))}c{_step(seps)}s{_step(len(urls))}l{int(s[-1] in '.!?')}"
-            found.append((s, kind, words, shape))
+    for s, rich in _statements(text):
+        shape, words = reduced(s, rich)
+        total += len(words)
+        distinct.update(words)
+        name, kind = _named(shape)
+        found.append((s, kind, words, name))
     hot: set[str] = set()
     again: Counter[str] = Counter()
     products = sum(f[1] == "products" for f in found)
@@ -100,15 +173,15 @@ def shapes(text: str) -> Iterator[tuple[str, str, int]]:
         again.update(NUMBER.sub("0", f[0]) for f in found)
     if len(distinct) < 0.6 * total:
         hot = _hot([f[2] for f in found if f[1] in (SENTENCE, "keywords")])
-    for s, kind, words, shape in found:
+    for s, kind, words, name in found:
         k = kind
         if k == SENTENCE and hot:
-            own = [w for w in words if len(w) > 3 and not is_function(w)]
+            own = [w for w in words if len(w) > 3 and w not in FUNCTION_WORDS]
             if own and sum(w in hot for w in own) >= 0.4 * len(own):
                 k = "phrase"
         if k == SENTENCE and products > 1 and again[NUMBER.sub("0", s)] > 1:
             k = "refrain"
-        yield f"{k}:{shape}", k, len(s)
+        yield f"{k}:{name}", k, len(s)
 
 
 def _hot(sentences: list[list[str]]) -> set[str]:
@@ -146,21 +219,20 @@ def document_shapes(docs: DataFrame) -> DataFrame:
 
 
 def stuffed_pages(docs: DataFrame) -> DataFrame:
-    """(doc_id, kind, share, shapes): flagged pages, the kind that holds most
-    of the text, the share of characters in the ``FEW_SHAPES`` largest shapes
-    that are no sentences, and how many such shapes there are.
+    """(doc_id, kind, share, shapes, effective): flagged pages, the kind that
+    holds most of the text, the share of characters in shapes that are no
+    sentences, how many such shapes there are, and how many equally large ones
+    would be as concentrated (few where a page repeats itself).
 
     NULL, empty and very short texts are no cases. Repeated doc_ids are judged
     together, once. Entries of registers, tables, contents and reference lists
     count as text, but not as keywords.
     """
-    s = document_shapes(docs).groupBy("doc_id", "shape", "kind").agg(F.sum("statements").alias("statements"), F.sum("chars").alias("chars"))
-    odd = ~F.col("kind").isin(SENTENCE, NEUTRAL)
-    of_doc = Window.partitionBy("doc_id")
-    s = s.withColumn("rank", F.row_number().over(of_doc.orderBy(odd.desc(), F.desc("chars"), "shape"))).withColumn("odd", odd)
-    few = F.when(F.col("odd") & (F.col("rank") <= FEW_SHAPES), F.col("chars")).otherwise(0)
+    s = document_shapes(docs).groupBy("doc_id", "shape", "kind").agg(F.sum("chars").alias("chars"))
+    odd = F.when(~F.col("kind").isin(SENTENCE, NEUTRAL), F.col("chars"))
     d = s.groupBy("doc_id").agg(
-        F.sum(few).alias("few"), F.sum("chars").alias("all"), F.max_by("kind", few).alias("kind"), F.sum(F.col("odd").cast("int")).alias("shapes")
-    )
-    flagged = (F.col("few") >= MOST * F.col("all")) & (F.col("all") >= LEAST_CHARS)
-    return d.where(flagged).select("doc_id", "kind", (F.col("few") / F.col("all")).alias("share"), F.col("shapes").cast("int").alias("shapes"))
+        F.coalesce(F.sum(odd), F.lit(0)).alias("odd"), F.sum("chars").alias("all"), F.max_by("kind", F.struct(F.coalesce(odd, F.lit(0)), "shape")).alias("kind"),
+        F.count(odd).cast("int").alias("shapes"), F.sum(odd.cast("double") * odd).alias("squares"),
+    )
+    flagged = (F.col("odd") >= MOST * F.col("all")) & (F.col("all") >= LEAST_CHARS)
+    return d.where(flagged).select("doc_id", "kind", (F.col("odd") / F.col("all")).alias("share"), "shapes", (F.col("odd") / F.col("squares") * F.col("odd")).alias("effective"))

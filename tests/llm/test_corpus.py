@@ -156,7 +156,7 @@ def test_mix_without_documents(spark):
 def test_newton_solves_the_dual(spark):
     hist = spark.createDataFrame([("s", t, 10) for t in (5, 50, 500)], "source string, n_tokens bigint, docs bigint")
     for want in (600.0, 5000.0, 7000.0, 16000.0):
-        lam = mixing.tilt(spark, hist, {"s": want}, {"s": 3}, {"s": 5550}, 100.0)["s"]
+        lam = mixing.tilt(hist, {"s": want}, {"s": 3}, {"s": 5550}, 100.0)["s"]
         got = sum(10 * t * min(3, np.exp(lam * t / 100)) for t in (5, 50, 500))
         assert got == pytest.approx(want, rel=1e-6)
 
@@ -168,6 +168,11 @@ STUFFED = {
     "tags": " ".join(f"#advokat{x}" for x in ("Norr", "Söder", "Billig", "Bäst", "Nära", "Jour", "Gratis", "Online")),
     "links": "\n".join(f"Avtal {i} http://www.exempel{i}.example/sida-om-avtal.html" for i in range(8)),
     "titled": "\n".join(f"Guide om hur man skriver ett avtal nummer {i}. https://www.exempel{i}.example/avtal-om-hyra/{i}" for i in range(6)),
+    "anchors": " | ".join(f'<a href="http://exempel{i}.example/sida">Lag om avtal och hyra nummer {i}</a>' for i in range(6)),
+    "items": "\n".join(f"<li><a href='http://exempel{i}.example/'>Mall för avtal om hyra</a></li>" for i in range(6)),
+    "markdown": "\n".join(f"[Mall för avtal om hyra {i}](https://exempel.example/{i})" for i in range(6)),
+    "hosts": " ".join(f"Guide om avtal och hyra (hyresjuridik{i}.example)" for i in range(6)),
+    "shapes": "\n".join(" ".join(["Jurist"] * (i % 7) + ["billig"] * (i // 7 % 7 + 1)) + " ,;|/"[1 : 1 + i // 49 % 5] for i in range(300)),
     "products": " • ".join(f"Lagbok avtalsmall {100 + i} kr fri frakt" for i in range(8)),
     "phrase": " ".join(f"Om du letar efter jurist Norrstad så är det jurist Norrstad som du ska ha. Vi är jurist Norrstad och {x} är jurist Norrstad." for x in ("bäst", "nära", "billig")),
 }
@@ -175,6 +180,8 @@ DECENT = {
     "prose": PROSE,
     "tagged": PROSE + "\n\nNyckelord: hyra, avtal, nämnd, uppsägning",
     "linked": PROSE + "\n\nhttp://www.exempel.example/a\nhttp://www.exempel.example/b",
+    "sources": "\n\n".join(f"Nämnden prövar frågan efter ansökan. Underlaget finns på http://exempel{i}.example/u.html och en äldre version på http://www.exempel{i}.example/a." for i in range(8)),
+    "marked up": "<p>" + PROSE.replace("Nämnden", '<a href="http://exempel.example/namnden">Nämnden</a>') + "</p>",
     "table": "Tabell. Avgiften är den som anges.\n\nNr | Slag | Belopp\n" + "\n".join(f"{i} | avgifter | {i}00" for i in range(1, 30)),
     "contents": "Innehåll\n" + "\n".join(f"{i}.1 Om avtal och avgifter ..... {i}0" for i in range(1, 15)),
     "register": "\n".join(f"SFS 19{i}:10\nRubrik: Lag om ändring i lagen om hyra\nOmfattning: ändr. {i} §\nIkraft: 19{i}-01-01" for i in range(60, 75)),
@@ -196,3 +203,12 @@ def test_stuffed_pages(spark):
     varied = " ".join(PROSE.replace("lägenheten", f"lägenhet {i}").replace("frågan", "fråga" + "abcdefghij"[i % 10]) for i in range(2000))
     long = spark.createDataFrame([(1, "s", varied, 0, ""), (2, "s", STUFFED["keywords"] * 3000, 0, "")], SCHEMA)
     assert [r[0] for r in rows(stuffing.stuffed_pages(long).select("doc_id"))] == [2]
+
+
+def test_many_odd_shapes_are_still_odd(spark):
+    """The verdict is on all shapes that are no sentences, however many; few
+    equal ones only make the effective number small."""
+    df = spark.createDataFrame([(1, "s", STUFFED["shapes"], 0, ""), (2, "s", STUFFED["items"], 0, "")], SCHEMA)
+    got = {r["doc_id"]: r for r in stuffing.stuffed_pages(df).collect()}
+    assert got[1]["share"] == 1.0 and got[1]["shapes"] > 40 and got[1]["effective"] > 12
+    assert got[2]["effective"] == pytest.approx(1.0) and got[2]["kind"] == "links"
