@@ -6,11 +6,14 @@ the cap on repeats, is an exponential tilt ``min(cap, exp(lambda * tokens))``.
 Newton steps on the convex dual find lambda of each source; a step is one
 distributed aggregation over the histogram of text sizes, which is exact and
 much smaller than the documents. Rates are rounded to whole copies by a hash of
-the document, with a threshold per source that is refined until the copies'
-tokens meet the target, to within a short document. Documents are whole and a
-target is never exceeded: a document longer than what its source may give stays
-out, shorter ones fill its place, and where there are none the source falls
-short by what is left.
+the document, with a threshold per source found in two passes over a histogram
+of hashes; what is then missing is filled by the longest documents that fit.
+Documents are whole and a target is never exceeded: a document longer than what
+its source may give stays out, shorter ones fill its place, and where there are
+none the source falls short by what is left.
+
+What is known of each source (a row of settings) enters the plans as a literal
+map, so documents are never joined, shuffled or broadcast by their source.
 """
 
 from __future__ import annotations
@@ -19,16 +22,17 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codexmill.llm.tokens import VOCABULARY, counter
 from codexmill.session import materialize
 
 #: Bins of one refinement of the rounding threshold; at most this many rows a source reach the driver.
-BINS = 2048
+BINS = 1 << 15
 STEPS = 60
-FILLS = 4
+#: Rounds that fill what the threshold leaves of a source's target.
+FILLS = 6
 #: A total of as many tokens as the sources of the mix hold.
 AVAILABLE = "available"
 
@@ -70,7 +74,15 @@ def plan(targets: list[dict], tokens: dict[str, int], total: float | str | None
     return want, share
 
 
-def tilt(spark: SparkSession, hist: DataFrame, want: dict[str, float], cap: dict[str, int], tokens: dict[str, int], scale: float) -> dict[str, float]:
+def _of(values: dict[str, float | int | None], kind: str = "double") -> Column:
+    """Setting of a row's source; NULL for other sources."""
+    known = {s: v for s, v in values.items() if v is not None}
+    if not known:
+        return F.lit(None).cast(kind)
+    return F.element_at(F.create_map(*[F.lit(x) for kv in sorted(known.items()) for x in kv]), F.col("source")).cast(kind)
+
+
+def tilt(hist: DataFrame, want: dict[str, float], cap: dict[str, int], tokens: dict[str, int], scale: float) -> dict[str, float]:
     """lambda of each source: Newton on the logarithm of the dual's gradient,
     kept inside a shrinking bracket. Sources that must give all have infinity."""
     lam = {s: (math.inf if want[s] >= cap[s] * tokens[s] * (1 - 1e-12) else 0.0) for s in want}
@@ -79,12 +91,12 @@ def tilt(spark: SparkSession, hist: DataFrame, want: dict[str, float], cap: dict
     for _ in range(STEPS):
         if not live:
             break
-        state = spark.createDataFrame([(s, lam[s], cap[s]) for s in sorted(live)], "source string, lam double, cap int")
         x = F.col("n_tokens") / F.lit(scale)
-        rate = F.least(F.col("cap").cast("double"), F.exp(F.col("lam") * x))
+        rate = F.least(F.col("cap"), F.exp(F.col("lam") * x))
         free = F.exp(F.col("lam") * x) < F.col("cap")
         got = (
-            hist.join(state, "source")
+            hist.where(F.col("source").isin(sorted(live)))
+            .select("*", _of({s: lam[s] for s in live}).alias("lam"), _of({s: cap[s] for s in live}).alias("cap"))
             .groupBy("source")
             .agg(F.sum(F.col("docs") * F.col("n_tokens") * rate).alias("s"), F.sum(F.when(free, F.col("docs") * F.col("n_tokens") * x * rate)).alias("h"))
             .collect()
@@ -128,62 +140,90 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | str | None =
     want, goal = plan(rows, tokens, total_tokens)
     cap = {r["source"]: r["max_repeats"] for r in rows}
     scale = sum(tokens.values()) / max(1, sum(r["docs"] for r in have.values())) or 1.0
-    lam = tilt(spark, hist, want, cap, tokens, scale)
-    state = spark.createDataFrame([(s, lam[s], cap[s]) for s in sorted(want)] or [], "source string, lam double, cap int")
-    raw = F.when(F.col("lam") == math.inf, F.col("cap").cast("double")).otherwise(F.least(F.col("cap").cast("double"), F.exp(F.col("lam") * F.col("n_tokens") / F.lit(scale))))
-    r = used.join(state, "source").withColumn("rate", raw).withColumn("base", F.floor("rate"))
-    u = F.pmod(F.xxhash64("doc_id", F.lit(20240229)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    r = r.withColumn("edge", F.when(F.col("base") < F.col("cap"), u - (F.col("rate") - F.col("base"))))
-    cuts = _cuts(spark, r, want)
-    names_ = [f"{x}{k}" for k in range(FILLS) for x in ("most", "cut")]
-    table = spark.createDataFrame([(s, *[x for pair in cuts[s] for x in pair]) for s in sorted(want)] or [], "source string, " + ", ".join(f"{n} double" for n in names_))
-    extra, since = F.lit(0), F.lit(-1.0)
-    for k in range(FILLS):
-        hit = (F.col("edge") >= since) & (F.col("edge") < F.col(f"cut{k}")) & (F.col("n_tokens") <= F.col(f"most{k}"))
-        extra, since = extra + F.when(hit, 1).otherwise(0), F.col(f"cut{k}")
-    out = r.join(table, "source").select("doc_id", "source", "n_tokens", (F.col("base") + extra).cast("int").alias("copies")).where("copies > 0")
+    lam = tilt(hist, want, cap, tokens, scale)
+    r = _rated(used, want, lam, cap, scale)
+    extra = _extra(r, want)
+    out = r.select("doc_id", "source", "n_tokens", (F.col("base") + extra).cast("int").alias("copies")).where("copies > 0")
     got = out.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("mix_tokens"))
     known = [(t["source"], t["target_share"], t["max_repeats"], int(have[t["source"]]["docs"]) if t["source"] in have else 0, int(tokens.get(t["source"], 0)), float(goal.get(t["source"], 0.0))) for t in rows]
     rep = spark.createDataFrame(known, "source string, target_share double, max_repeats int, documents bigint, tokens bigint, wanted_share double")
-    rep = rep.join(got, "source", "left").withColumn("mix_tokens", F.coalesce("mix_tokens", F.lit(0)))
+    rep = rep.join(F.broadcast(got), "source", "left").withColumn("mix_tokens", F.coalesce("mix_tokens", F.lit(0)))
     #: over one row a target, a table of settings
     whole = F.sum("mix_tokens").over(Window.partitionBy(F.lit(0)))
     rep = rep.withColumn("actual_share", F.when(whole > 0, F.col("mix_tokens") / whole).otherwise(0.0))
     return out, rep
 
 
-def _cuts(spark: SparkSession, r: DataFrame, want: dict[str, float]) -> dict[str, list[tuple[float, float]]]:
-    """Thresholds (largest size, edge) of each source: a document whose edge is
-    below the first one gets a copy more. Where the target is crossed by a long
-    document, what is missing is filled from there on by documents no longer
-    than it, again up to a threshold, and so on ``FILLS`` times. A threshold is
-    found in bins, then in bins inside the bin where the target is crossed."""
-    if not want:
-        return {}
-    base = {x["source"]: x["t"] for x in r.groupBy("source").agg(F.sum(F.col("base") * F.col("n_tokens")).alias("t")).collect()}
-    below = {s: float(base.get(s) or 0) for s in want}
-    start = dict.fromkeys(want, -1.0)
-    cuts: dict[str, list[tuple[float, float]]] = {s: [] for s in want}
-    for k in range(FILLS):
-        most = {s: want[s] - below[s] if k else math.inf for s in want}
-        lo, hi = dict(start), dict.fromkeys(want, 1.0)
-        for _ in range(4):
-            box = spark.createDataFrame([(s, lo[s], hi[s], most[s]) for s in sorted(want)], "source string, lo double, hi double, most double")
-            b = F.least(F.lit(BINS - 1), F.floor((F.col("edge") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS))
-            inside = r.join(box, "source").where("edge >= lo AND edge < hi AND n_tokens <= most")
-            bins: dict[str, list[tuple[int, int]]] = {s: [] for s in want}
-            for x in inside.groupBy("source", b.alias("b")).agg(F.sum("n_tokens").alias("t")).collect():
-                bins[x["source"]].append((x["b"], x["t"]))
-            for s, found in bins.items():
-                width = (hi[s] - lo[s]) / BINS
-                at = None
-                for i, t in sorted(found):
-                    if below[s] + t > want[s]:
-                        at = i
-                        break
-                    below[s] += t
-                lo[s], hi[s] = (hi[s], hi[s] + width) if at is None else (lo[s] + at * width, lo[s] + (at + 1) * width)
-        for s in want:
-            cuts[s].append((most[s], lo[s]))
-            start[s] = lo[s]
-    return cuts
+def _rated(used: DataFrame, want: dict[str, float], lam: dict[str, float], cap: dict[str, int], scale: float) -> DataFrame:
+    """(doc_id, source, n_tokens, base, edge) of documents of wanted sources:
+    whole copies, and how far the document's hash lies above the rest of its
+    rate; NULL where the cap is reached. Equal ids of one source share a hash."""
+    wanted = used.where(F.col("source").isin(sorted(want))) if want else used.limit(0)
+    x = wanted.select("doc_id", "source", "n_tokens", _of(lam).alias("lam"), _of({s: cap[s] for s in want}).alias("cap"))
+    rate = F.when(F.col("lam") == math.inf, F.col("cap")).otherwise(F.least(F.col("cap"), F.exp(F.col("lam") * F.col("n_tokens") / F.lit(scale))))
+    u = F.pmod(F.xxhash64("doc_id", F.lit(20240229)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    x = x.withColumn("rate", rate).withColumn("base", F.floor("rate"))
+    return x.select("doc_id", "source", "n_tokens", "base", F.when(F.col("base") < F.col("cap"), u - (F.col("rate") - F.col("base"))).alias("edge"))
+
+
+def _extra(r: DataFrame, want: dict[str, float]) -> Column:
+    """1 for documents that get a copy more, else 0: all of a source's whose
+    edge is below its threshold, then, where a longer document crosses the
+    target, what fits into the rest, for up to ``FILLS`` rounds. A rest that
+    holds several documents gets a threshold of its own among those that fit;
+    a smaller one the longest that fits. A document delivered several times is
+    no filling."""
+    whole = {x["source"]: x["t"] for x in r.groupBy("source").agg(F.sum(F.col("base") * F.col("n_tokens")).alias("t")).collect()} if want else {}
+    left = {s: want[s] - float(whole.get(s) or 0) for s in want}
+    since, free = dict.fromkeys(want, -1.0), F.col("edge").isNotNull()
+    taken, picked = F.lit(False), set()
+    for k in range(FILLS + 1):
+        live = {s: x for s, x in left.items() if x >= 1}
+        if not live:
+            break
+        fits = free & (F.col("edge") >= _of(since)) & (F.lit(k == 0) | (F.col("n_tokens") <= _of(live)))
+        fits = fits & ~F.col("doc_id").isin(sorted(picked)) if picked else fits
+        may = r.where(fits & F.col("source").isin(sorted(live)))
+        some = live
+        if k:
+            best = {x["source"]: x["b"] for x in may.groupBy("source").agg(F.max(F.struct("n_tokens", "doc_id")).alias("b")).collect()}
+            some = {s: live[s] for s in best if live[s] >= 3 * best[s]["n_tokens"]}
+            ids = {s: b["doc_id"] for s, b in best.items() if s not in some}
+            times = dict(r.where(F.col("doc_id").isin(list(ids.values()))).groupBy("doc_id").count().collect()) if ids else {}
+            for s, i in ids.items():
+                if times[i] == 1:
+                    left[s] -= best[s]["n_tokens"]
+                    picked.add(i)
+            if not best:
+                break
+        if some:
+            cut, got = _threshold(may.where(F.col("source").isin(sorted(some))), some, since)
+            hit = fits & (F.col("edge") < _of(cut))
+            taken = taken | F.coalesce(hit, F.lit(False))
+            since = since | cut
+            left = {s: x - got.get(s, 0.0) for s, x in left.items()}
+    chosen = taken | F.col("doc_id").isin(sorted(picked)) if picked else taken
+    return F.when(chosen, 1).otherwise(0)
+
+
+def _threshold(r: DataFrame, left: dict[str, float], since: dict[str, float]) -> tuple[dict[str, float], dict[str, float]]:
+    """(threshold, tokens below it) of each source: as far as its documents, in
+    the order of their edges, stay within what is left. It is found in ``BINS``
+    bins, then in as many inside the bin where the target is crossed."""
+    got = dict.fromkeys(left, 0.0)
+    lo, hi = {s: since[s] for s in left}, dict.fromkeys(left, 1.0)
+    for _ in range(2):
+        at = F.floor((F.col("edge") - _of(lo)) / (_of(hi) - _of(lo)) * BINS)
+        inside = r.where((F.col("edge") >= _of(lo)) & (F.col("edge") < _of(hi)))
+        bins: dict[str, list[tuple[int, int]]] = {s: [] for s in left}
+        for x in inside.groupBy("source", F.least(F.lit(BINS - 1), at).alias("b")).agg(F.sum("n_tokens").alias("t")).collect():
+            bins[x["source"]].append((x["b"], x["t"]))
+        for s, found in bins.items():
+            width, cross = (hi[s] - lo[s]) / BINS, None
+            for i, t in sorted(found):
+                if got[s] + t > left[s]:
+                    cross = i
+                    break
+                got[s] += t
+            lo[s], hi[s] = (hi[s], hi[s] + width) if cross is None else (lo[s] + cross * width, lo[s] + (cross + 1) * width)
+    return lo, got
