@@ -10,6 +10,7 @@ from __future__ import annotations
 import html as _html
 import re
 from collections.abc import Callable
+from html.entities import name2codepoint
 from itertools import takewhile
 
 import pandas as pd
@@ -17,28 +18,58 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Elements that may stand in a page, and their attributes.
-INLINE = frozenset("abbr b big br cite code dfn em font i kbd q s samp small span strike strong sub sup tt u var".split())
+# Elements that may stand in a page.
+INLINE = frozenset("abbr b big br cite code dfn em font i kbd q s samp small span strike strong sub sup tt u var rb rp rt ruby".split())
 BLOCKS = frozenset("blockquote caption center dd del div dl dt h1 h2 h3 h4 h5 h6 hr ins li ol p pre table td th tr ul".split())
 VOID = frozenset("br hr".split())
-ATTRIBUTES = frozenset("align class colspan dir height id lang nowrap rowspan style title valign width".split())
+
+# Attributes that any element may have, and those of single elements.
+ANY = frozenset("id class lang dir title style".split())
+ALIGN = frozenset("align char charoff valign".split())
+CELL = ALIGN | frozenset("abbr axis headers scope rowspan colspan nowrap width height bgcolor".split())
+OWN = {
+    "blockquote": {"cite"}, "br": {"clear"}, "caption": {"align"}, "del": {"cite", "datetime"}, "div": {"align"}, "font": {"size", "color", "face"},
+    "hr": {"noshade", "size", "width"}, "ins": {"cite", "datetime"}, "li": {"type", "value"}, "ol": {"type", "start"}, "p": {"align"}, "pre": {"width"}, "span": {"align"},
+    "table": {"summary", "width", "border", "frame", "rules", "cellspacing", "cellpadding", "align", "bgcolor"},
+    "td": CELL, "th": CELL, "tr": ALIGN | {"bgcolor"}, "ul": {"type"}, **{f"h{k}": {"align"} for k in range(1, 7)},
+}
+#: Elements that have fewer than ``ANY``.
+ONLY = {"br": frozenset("id class title style clear".split())}
 MAGIC = ("__TOC__", "__NOTOC__", "__FORCETOC__", "__NOEDITSECTION__", "__NEWSECTIONLINK__")
 TOC_FROM, TOC_LEVELS = 4, 5
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:\s[^<>]*)?)(/?)>")
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-_ENTITY = re.compile(r"&(?!(?:#\d+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);)")
+_ENTITY = re.compile(r"&(?:#(?:(\d+)|[xX]([0-9a-fA-F]+));|([a-zA-Z][a-zA-Z0-9]*);)?")
 _QUOTES = re.compile(r"'{2,}")
 _PROTECTED = re.compile(r"<(nowiki|pre|math)>(.*?)</\1>|<!--.*?-->", re.DOTALL)
 
-HOOKS: dict[str, Callable[[str, dict[str, str]], str]] = {}
+Hook = Callable[[str, dict[str, str]], str]
+HOOKS: dict[str, Hook] = {}
 
 
-def register_hook(tag: str, fn: Callable[[str, dict[str, str]], str]) -> None:
-    """Render ``<tag>body</tag>`` by ``fn(body, attributes)``."""
+def register_hook(tag: str, fn: Hook) -> None:
+    """Render ``<tag>body</tag>`` by ``fn(body, attributes)``. Queries built
+    from here on take the hook along to their workers."""
     HOOKS[tag] = fn
 
 
+def allowed(tag: str, attribute: str) -> bool:
+    return attribute in ONLY[tag] if tag in ONLY else attribute in ANY or attribute in OWN.get(tag, ())
+
+
+def character(code: int) -> bool:
+    """Whether XML allows the code point."""
+    return code in (0x9, 0xA, 0xD) or 0x20 <= code <= 0xD7FF or 0xE000 <= code <= 0xFFFD or 0x10000 <= code <= 0x10FFFF
+
+
+def _reference(m: re.Match) -> str:
+    """A character reference as it stands, if it names a character; else text."""
+    dec, hexa, name = m.groups()
+    known = name in name2codepoint if name else character(int(dec) if dec else int(hexa, 16)) if dec or hexa else False
+    return m[0] if known else "&amp;" + m[0][1:]
+
+
 def emphasis(line: str) -> str:
     """Runs of apostrophes to <i> and <b>, closed at the end of the line."""
     runs = [m for m in _QUOTES.finditer(line)]
@@ -106,11 +137,11 @@ def _demote(line: str, runs: list[re.Match], sizes: list[tuple[int, int]]) -> No
             return
 
 
-def _attributes(text: str) -> str:
+def _attributes(text: str, tag: str) -> str:
     out = []
     for name, a, b, c in _ATTR.findall(text):
         name, value = name.lower(), _html.unescape(a or b or c)
-        if name not in ATTRIBUTES or (name == "style" and re.search(r"expression|url\s*\(|https?:|javascript", value, re.IGNORECASE)):
+        if not allowed(tag, name) or (name == "style" and re.search(r"expression|url\s*\(|https?:|javascript", value, re.IGNORECASE)):
             continue
         if name == "id":
             value = re.sub(r"[^\w.:-]", "_", value)
@@ -128,12 +159,12 @@ def sanitised(text: str) -> str:
         if tag not in INLINE and tag not in BLOCKS:
             out.append(_html.escape(m[0], quote=False))
         elif tag in VOID:
-            out.append(f"<{tag}{_attributes(attrs)} />")
+            out.append(f"<{tag}{_attributes(attrs, tag)} />")
         elif not close:
             if tag in ("li", "td", "th", "tr", "dt", "dd") and stack and stack[-1] == tag:
                 out.append(f"</{stack.pop()}>")
             stack.append(tag)
-            out.append(f"<{tag}{_attributes(attrs)}>")
+            out.append(f"<{tag}{_attributes(attrs, tag)}>")
         elif tag in stack:
             while (top := stack.pop()) != tag:
                 out.append(f"</{top}>")
@@ -149,7 +180,7 @@ def _cells(line: str, kind: str, tag: str) -> str:
     out = []
     for c in cells:
         head, bar, body = c.partition("|")
-        attrs, body = (_attributes(head), body) if bar and "[[" not in head else ("", c)
+        attrs, body = (_attributes(head, tag), body) if bar and "[[" not in head else ("", c)
         out.append(f"<{tag}{attrs}>{body.strip()}</{tag}>")
     return "".join(out)
 
@@ -171,14 +202,14 @@ def tables(text: str) -> str:
         s = line.strip()
         if m := re.match(r"^(:*)\{\|(.*)$", s):
             n = len(m[1])
-            open_.append({"attrs": _attributes(m[2]), "body": [], "row": False, "indent": "<dl><dd>" * n, "outdent": "</dd></dl>" * n})
+            open_.append({"attrs": _attributes(m[2], "table"), "body": [], "row": False, "indent": "<dl><dd>" * n, "outdent": "</dd></dl>" * n})
         elif not open_:
             out.append(line)
         elif s.startswith("|}"):
             close()
         elif s.startswith("|-"):
             t = open_[-1]
-            t["body"] += (["</tr>"] if t["row"] else []) + [f"<tr{_attributes(s.lstrip('|-'))}>"]
+            t["body"] += (["</tr>"] if t["row"] else []) + [f"<tr{_attributes(s.lstrip('|-'), 'tr')}>"]
             t["row"] = True
         elif s.startswith("|+"):
             open_[-1]["body"].append(f"<caption>{s[2:].strip()}</caption>")
@@ -298,6 +329,15 @@ def _contents(toc: list[tuple[int, str, str, str]]) -> str:
     return '<ul id="toc">' + "".join(rows) + "</ul>"
 
 
+def shortened(url: str, length: int = 40) -> str:
+    """``text.short_url`` of one string."""
+    last = re.search(r"/[^/]+/?$", url)
+    if len(url) <= length or not last:
+        return url
+    head, tail, keep = url[: last.start()], last[0], length - 3
+    return f"{head}{tail[:keep]}..." if len(head) <= keep else f"{head[:keep]}...{tail}"
+
+
 def links(text: str) -> str:
     from codexmill.model import BASE
 
@@ -312,7 +352,7 @@ def links(text: str) -> str:
 
     def outer(m: re.Match) -> str:
         url, shown = m[1], (m[2] or "").strip()
-        short = url if len(url) <= 40 else url[:37] + "..."
+        short = shortened(url)
         return f'<a href="{_html.escape(url)}" rel="nofollow">{shown or short}</a>'
 
     text = re.sub(r"\[\[([^\[\]\n]+)\]\]", inner, text)
@@ -329,8 +369,9 @@ def spacing(text: str) -> str:
     return re.sub(r"(?<=«) ", "&nbsp;", re.sub(r"(?<=\S) (?=[?:;!%»](?:\s|$))", "&nbsp;", text))
 
 
-def render(text: str | None, lite: bool = False, show_toc: bool = True) -> str | None:
-    """HTML of a page. ``lite`` leaves tables, contents and anchors out."""
+def render(text: str | None, lite: bool = False, show_toc: bool = True, hooks: dict[str, Hook] | None = None) -> str | None:
+    """HTML of a page. ``lite`` leaves tables, contents and anchors out;
+    ``hooks`` are by default the registered ones."""
     if text is None:
         return None
     held: list[str] = []
@@ -342,9 +383,9 @@ def render(text: str | None, lite: bool = False, show_toc: bool = True) -> str |
     text = text.replace("\r\n", "\n").replace("\x7f", "")
     text = re.sub(r"(?m)^[ \t]*<!--.*?-->[ \t]*\n", "", text, flags=re.DOTALL)
     text = _PROTECTED.sub(lambda m: "" if m[1] is None else hold(f"<pre>{_html.escape(m[2], quote=False)}</pre>" if m[1] == "pre" else _html.escape(m[2], quote=False)), text)
-    for tag, fn in HOOKS.items():
+    for tag, fn in (HOOKS if hooks is None else hooks).items():
         text = re.sub(rf"<{tag}((?:\s[^<>]*)?)>(.*?)</{tag}>", lambda m, f=fn: hold(f(m[2], {a: b or c or d for a, b, c, d in _ATTR.findall(m[1])})), text, flags=re.DOTALL)
-    text = _ENTITY.sub("&amp;", sanitised(text))
+    text = _ENTITY.sub(_reference, sanitised(text))
     flags = {w for w in MAGIC if w in text}
     for w in flags:
         text = text.replace(w, "\x7ftoc\x7f" if w == "__TOC__" else "")
@@ -364,14 +405,20 @@ def render(text: str | None, lite: bool = False, show_toc: bool = True) -> str |
     return re.sub(r"\x7f(\d+)\x7f", lambda m: held[int(m[1])], text)
 
 
-@F.pandas_udf(T.StringType())
-def html(text: pd.Series) -> pd.Series:
-    return text.map(render, na_action="ignore")
+def html(text: Column | str, lite: bool = False, show_toc: bool = True, hooks: dict[str, Hook] | None = None) -> Column:
+    """``render`` as a column. Hooks travel with the query: a worker knows
+    nothing of what was registered on the driver."""
+    known = dict(HOOKS) | (hooks or {})
+
+    @F.pandas_udf(T.StringType())
+    def page(t: pd.Series) -> pd.Series:
+        return t.map(lambda x: render(x, lite, show_toc, known), na_action="ignore")
+
+    return page(text)
 
 
-@F.pandas_udf(T.StringType())
-def html_lite(text: pd.Series) -> pd.Series:
-    return text.map(lambda x: render(x, lite=True), na_action="ignore")
+def html_lite(text: Column | str, hooks: dict[str, Hook] | None = None) -> Column:
+    return html(text, lite=True, hooks=hooks)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

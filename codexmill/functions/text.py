@@ -137,13 +137,13 @@ def slug(s: Column, remove_slashes: bool = True) -> Column:
 
 
 def short_url(url: Column, length: int = 40) -> Column:
-    """URL of at most about ``length``: the host and the last path segment are
-    kept, what lies between becomes '...'."""
-    bare = F.regexp_replace(url, "^[a-z]+://", "")
-    host = F.regexp_extract(bare, "^([^/]*)", 1)
-    tail = F.substring_index(F.regexp_replace(bare, "/+$", ""), "/", -1)
-    short = F.concat(host, F.lit("/.../"), tail)
-    return F.when(F.length(bare) <= length, bare).when(F.length(short) <= length, short).otherwise(F.concat(F.left(short, F.lit(length - 3)), F.lit("...")))
+    """A URL longer than ``length`` with dots for a part of it: where what stands
+    before the last path segment is short enough the segment is cut, else what
+    stands before it. URLs that are short, or end without a segment, stay."""
+    keep, last = length - 3, F.regexp_extract(url, "(/[^/]+/?)$", 1)
+    head = F.left(url, F.length(url) - F.length(last))
+    cut = F.when(F.length(head) <= keep, F.concat(head, F.left(last, F.lit(keep)), F.lit("..."))).otherwise(F.concat(F.left(head, F.lit(keep)), F.lit("..."), last))
+    return F.when((F.length(url) <= length) | (last == ""), url).otherwise(cut)
 
 
 def celex(s: Column) -> Column:

@@ -29,6 +29,11 @@ PREFIXES = {
 TRIPLES = "g string, s string, p string, o string, o_kind string, o_datatype string, o_lang string"
 
 
+def is_act(uri: Column) -> Column:
+    """Whether a URI is an act's, not a provision's."""
+    return uri.startswith(f"{BASE}/sfs/") & ~F.contains(uri, F.lit("#"))
+
+
 def node_uri(doc: Column, node_id: Column) -> Column:
     return F.when(node_id.isNull(), doc).otherwise(F.concat(doc, F.lit("#"), node_id))
 
@@ -38,15 +43,22 @@ def _row(g: str, s: Column, p: str, o: Column, kind: str = "literal") -> list[Co
     return [F.lit(g).alias("g"), s.alias("s"), F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), none.alias("o_datatype"), none.alias("o_lang")]
 
 
-def stated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The triples as stated, as a set; statements without an object say nothing."""
+def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triples as they were delivered, repeated or not; statements without
+    an object say nothing."""
     t = table(spark, sf_dir, "triples").select("g", "s", "p", "o", "o_kind", "o_datatype", "o_lang")
-    return t.where("s IS NOT NULL AND o IS NOT NULL").distinct()
+    return t.where("s IS NOT NULL AND o IS NOT NULL")
+
+
+def stated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triples as a set."""
+    return statements(spark, sf_dir).distinct()
 
 
 def graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stated triples and those that the other tables imply: descriptions of
-    cases and provisions, and the acts that transitional provisions bring in."""
+    """Triples and those that the other tables imply: descriptions of cases and
+    provisions, and the acts that transitional provisions bring in. Rows may
+    repeat; ``pattern`` takes them as a set, of two columns instead of seven."""
     cases, nodes = table(spark, sf_dir, "dv_cases"), table(spark, sf_dir, "nodes")
     uri = node_uri(F.col("doc"), F.col("node_id"))
     moved = nodes.where("node_type = 'Overgangsbestammelse' AND node_id LIKE 'L%'").withColumn("nr", F.expr("substring(node_id, 2)"))
@@ -57,10 +69,10 @@ def graph(spark: SparkSession, sf_dir: str) -> DataFrame:
         moved.select(*_row("sfs", act, "rinfo:inforsI", uri, "uri")),
         moved.select(*_row("sfs", act, FS_NUMBER, F.col("nr"))),
     ]
-    out = stated(spark, sf_dir)
+    out = statements(spark, sf_dir)
     for m in more:
         out = out.unionByName(m.where("s IS NOT NULL AND o IS NOT NULL"))
-    return out.distinct()
+    return out
 
 
 def pattern(triples: DataFrame, p: str | tuple[str, ...], s: str, o: str, g: str | None = None) -> DataFrame:

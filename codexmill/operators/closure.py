@@ -8,26 +8,58 @@ from pyspark.sql import functions as F
 from codexmill.session import materialize
 
 
+#: Steps that are planned at once; a round of them is one job.
+STEPS = 6
+
+
+def reached(edges: DataFrame, starts: DataFrame, steps: int = STEPS) -> DataFrame:
+    """(start, node): what is reached from each start along edges (frm, to) in
+    one or more steps; a start reaches itself only on a cycle.
+
+    A round follows ``steps`` edges in one plan: a row carries the nodes on its
+    way, so no step is computed twice, and rows whose way has ended are spread,
+    not gathered under one NULL. Pairs first reached by a round's last step go
+    on to the next one, so cycles end. Each round is written to the shared
+    folder. Set semantics; NULLs never match; no starts, no rows.
+    """
+    e = edges.select("frm", "to").where("frm IS NOT NULL AND to IS NOT NULL").distinct()
+    e = materialize(e, "edges")
+    front = starts.select("start").where("start IS NOT NULL").distinct().withColumn("node", F.col("start"))
+    seen: DataFrame | None = None
+    while True:
+        cur = front.select("start", F.col("node").alias("at"), F.array().cast("array<string>").alias("way"))
+        for _ in range(steps):
+            step = cur.join(e, F.col("at") == F.col("frm"), "left")
+            over = F.col("to").isNull()
+            cur = step.select("start", F.when(over, F.concat(F.lit("\x00"), "start")).otherwise(F.col("to")).alias("at"), F.when(over, F.col("way")).otherwise(F.array_append("way", F.col("to"))).alias("way"))
+        pairs = cur.select("start", F.posexplode("way").alias("step", "node")).groupBy("start", "node").agg((F.min("step") + 1).alias("step"))
+        if seen is not None:
+            pairs = pairs.join(seen.select("start", "node"), ["start", "node"], "left_anti")
+        new = materialize(pairs, "reached")
+        seen = new if seen is None else seen.unionByName(new)
+        front = new.where(F.col("step") == steps).select("start", "node")
+        if front.isEmpty():
+            return seen.select("start", "node")
+
+
 def closure(edges: DataFrame, roots: DataFrame, include_roots: bool = True) -> DataFrame:
     """(root, node): what lies below each root along edges (child, parent).
 
     ``include_roots`` is the path ``*`` (each root is below itself), without it
-    ``+`` (a root is below itself only on a cycle). A frontier is joined with
-    the edges until no round finds a new pair, so cycles end; each round is
-    written to the shared folder, so lineage stays short. Set semantics; NULLs
-    never match; no roots, no rows.
+    ``+`` (a root is below itself only on a cycle). See ``reached``.
     """
-    e = materialize(edges.select("child", "parent").where("child IS NOT NULL AND parent IS NOT NULL").distinct(), "part-of")
     own = roots.select("root").where("root IS NOT NULL").distinct()
-    front = materialize(own.join(e.withColumnRenamed("parent", "root"), "root").select("root", F.col("child").alias("node")).distinct(), "front")
-    seen = front
-    while not front.isEmpty():
-        step = front.select("root", F.col("node").alias("parent")).join(e, "parent").select("root", F.col("child").alias("node")).distinct()
-        front = materialize(step.join(seen, ["root", "node"], "left_anti"), "front")
-        seen = seen.unionByName(front)
-    if include_roots:
-        seen = seen.unionByName(own.select("root", F.col("root").alias("node"))).distinct()
-    return seen
+    down = reached(edges.select(F.col("parent").alias("frm"), F.col("child").alias("to")), own.withColumnRenamed("root", "start"))
+    seen = down.withColumnRenamed("start", "root")
+    return seen.unionByName(own.select("root", F.col("root").alias("node"))).distinct() if include_roots else seen
+
+
+def above(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, root): what each of the given nodes lies below, in one or more
+    steps: the path ``+`` for all roots at once, seeded with the nodes that are
+    asked about."""
+    up = reached(edges.select(F.col("child").alias("frm"), F.col("parent").alias("to")), nodes.select(F.col("node").alias("start")))
+    return up.select(F.col("start").alias("node"), F.col("node").alias("root"))
 
 
 def all_pairs(edges: DataFrame) -> DataFrame:

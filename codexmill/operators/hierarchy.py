@@ -5,7 +5,10 @@ mostly belong to one tree, share a fragment and a large tree spreads over many.
 Each fragment contracts its parent chains to the first node outside of it (the
 exit) by pointer doubling. Only nodes that are exits of other fragments stay in
 the quotient, which is solved the same way until it fits one fragment; then
-paths and cycles are expanded fragment by fragment.
+paths and cycles are expanded fragment by fragment. Fragments are of one size at
+every level. Names are no neighbourhood in a quotient, so there a coin decides
+which nodes join their parent's fragment: of the links of any chain a quarter is
+contracted at each level, besides all nodes that nothing leads to.
 """
 
 from __future__ import annotations
@@ -25,16 +28,15 @@ SEP = "\x1f"
 #: Edges in one fragment. A fragment is held in a task's memory, about 1 kB an edge.
 FRAGMENT_EDGES = 120_000
 
-_CONTRACTED = (
-    "frag int, s string, o string, primary boolean, exit string, hops bigint, seg string, cyclic boolean, n_parents int"
-)
+_CONTRACTED = "frag int, s string, o string, primary boolean, lead string, exit string, hops bigint, seg string, scc string, n_parents int"
 
 
 class _Fragment:
     """The edges of one fragment, contracted.
 
-    Rows with ``primary`` carry a node's own result; ``quotient`` lists every
-    (node, exit) pair that its edges lead to.
+    Rows with ``primary`` carry a node's own result; all rows with an exit are
+    the (node, exit) pairs that its edges lead to. ``scc`` names the cycle (the
+    strongly connected set) that a node lies on by its smallest node.
     """
 
     def __init__(self, e: pd.DataFrame, segments: bool, base: bool = True) -> None:
@@ -95,9 +97,14 @@ class _Fragment:
         nxt = np.where(complex_, -1, dst[first]) if n else np.array([], dtype=int)
         end, _, ends = self._double(nxt, np.ones(n, dtype=np.int64))
         self.term = np.where(ends, end, -1)
-        cyclic = np.zeros(n, dtype=bool)
+        scc_of = np.full(n, None, dtype=object)
         #: after n steps a chain without end stands on its cycle, and every node of a cycle is so reached
-        cyclic[np.unique(end[~ends])] = True
+        for v in np.unique(end[~ends]).tolist():
+            if scc_of[v] is None:  # the smallest of its cycle, as nodes are sorted
+                w = v
+                while scc_of[w] is None:
+                    scc_of[w] = self.names[v]
+                    w = int(nxt[w])
         rows_of = {int(c): range(int(first[c]), int(first[c]) + int(degree[c])) for c in np.flatnonzero(complex_)}
         graph: dict[int, list[int]] = {c: [] for c in rows_of}
         direct: dict[int, set[str]] = {c: set() for c in rows_of}
@@ -115,23 +122,22 @@ class _Fragment:
                 else:
                     direct[c].add(o[first[t]])
         self.exits: dict[int, frozenset[str]] = {}
-        member: dict[int, int] = {}
-        for k, scc in enumerate(_sccs(graph)):
-            member |= dict.fromkeys(scc, k)
+        for scc in _sccs(graph):
             inside = set(scc)
             reach = set().union(*(direct[c] for c in scc), *(self.exits[t] for c in scc for t in graph[c] if t not in inside))
             for c in scc:
                 self.exits[c] = frozenset(reach)
             if len(scc) > 1 or scc[0] in graph[scc[0]]:
-                cyclic[scc] = True
+                ring = set(scc)
                 for c in scc:
                     for r in rows_of[c]:
                         v = int(dst[r])
                         if v >= 0 and int(self.term[v]) in inside:
                             while v not in inside:
-                                cyclic[v] = True
+                                ring.add(v)
                                 v = int(nxt[v])
-        self.cyclic = cyclic
+                scc_of[list(ring)] = self.names[min(ring)]
+        self.scc = scc_of
 
     def exits_of(self, v: int) -> frozenset[str]:
         t = int(self.term[v])
@@ -147,17 +153,17 @@ class _Fragment:
         out["primary"] = is_first
         put = lambda x: np.where(is_first, np.asarray(x, dtype=object)[self.src], None) if n else []
         out["exit"], out["hops"], out["seg"] = put(self.exit), pd.array(put(self.hops), dtype="Int64"), put(self.seg)
-        out["cyclic"] = self.cyclic[self.src] if n else []
+        out["scc"], out["lead"] = (self.scc[self.src], self.exit[self.src]) if n else ([], [])
         out["n_parents"] = self.degree[self.src].astype(np.int32) if n else []
         more = []
         if self.exits:
             through = np.flatnonzero(np.isin(self.term, np.fromiter(self.exits, dtype=np.int64)))
             for v in through:
-                more += [(self.names[v], x) for x in self.exits_of(int(v)) if x != self.exit[v]]
+                more += [(self.names[v], x, self.exit[v]) for x in self.exits_of(int(v)) if x != self.exit[v]]
         if more:
-            x = pd.DataFrame(more, columns=["s", "exit"]).assign(frag=np.int32(frag), o=None, primary=False, hops=None, seg=None, cyclic=False, n_parents=None)
+            x = pd.DataFrame(more, columns=["s", "exit", "lead"]).assign(frag=np.int32(frag), o=None, primary=False, hops=None, seg=None, scc=None, n_parents=None)
             out = pd.concat([out, x[out.columns]], ignore_index=True)
-        return out
+        return out[[c.split()[0] for c in _CONTRACTED.split(", ")]]
 
     def between(self, x: str, y: str) -> set[int]:
         """Local nodes on a way from ``x`` out to ``y``."""
@@ -212,137 +218,86 @@ def _sccs(graph: dict[int, list[int]]) -> Iterator[list[int]]:
                     yield scc
 
 
-def _contract(edges: DataFrame, size: int, segments: bool, base: bool) -> tuple[DataFrame, int]:
-    """Fragment-wise contraction of edges (s, o, primary, hops, seg), and the
-    number of fragments."""
+def _contract(edges: DataFrame, size: int, segments: bool, level: int) -> tuple[DataFrame, int]:
+    """Fragment-wise contraction of edges (s, o, primary, lead, hops, seg), and
+    how many edges there are."""
 
     def fragment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [b for b in batches if len(b)]
         if parts:
-            yield _Fragment(pd.concat(parts, ignore_index=True), segments, base).rows(TaskContext.get().partitionId())
+            yield _Fragment(pd.concat(parts, ignore_index=True), segments, level == 0).rows(TaskContext.get().partitionId())
 
-    n = max(1, -(-edges.count() // size))
-    cut = edges.coalesce(1) if n == 1 else edges.repartitionByRange(n, "s")
-    return materialize(cut.mapInPandas(fragment, _CONTRACTED), "fragments"), n
+    total = edges.count()
+    n = max(1, -(-total // size))
+    coin = lambda c: F.pmod(F.xxhash64(c, F.lit(level)), F.lit(2)) == 0
+    joins = coin("s") & F.col("lead").isNotNull() & ~coin("lead")
+    at = [F.col("s")] if level == 0 else [F.xxhash64(F.when(joins, F.col("lead")).otherwise(F.col("s"))), F.col("s")]
+    cut = edges.repartition(1) if n == 1 else edges.repartitionByRange(n, *at)
+    return materialize(cut.mapInPandas(fragment, _CONTRACTED), "fragments"), total
 
 
 def _quotient(k: DataFrame) -> DataFrame:
-    """(s, o, primary, hops, seg) between nodes that other fragments lead to."""
-    entries = k.where("exit IS NOT NULL").select(F.col("exit").alias("s")).distinct()
-    q = k.where("exit IS NOT NULL").join(entries, "s", "left_semi")
-    return q.select("s", F.col("exit").alias("o"), "primary", F.coalesce("hops", F.lit(1)).alias("hops"), "seg")
+    """(s, o, primary, lead, hops, seg) between nodes that other fragments lead to."""
+    out = k.where("exit IS NOT NULL")
+    entries = out.select(F.col("exit").alias("s")).distinct()
+    q = out.join(entries, "s", "left_semi")
+    return q.select("s", F.col("exit").alias("o"), "primary", "lead", F.coalesce("hops", F.lit(1)).alias("hops"), "seg")
 
 
-def _solve(edges: DataFrame, size: int, segments: bool, base: bool = True) -> tuple[DataFrame, DataFrame | None]:
-    """(contracted edges with all cycles marked, solved quotient or None).
+def _solve(edges: DataFrame, size: int, segments: bool, level: int = 0) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(contracted edges, cycles (s, scc), solved quotient or None).
 
-    The contracted table's ``cyclic`` says whether a node lies on any cycle.
-    The quotient holds cross-fragment entries only, so it shrinks with every
-    level; should it not (links without any locality), fragments double and
-    one fragment ends the recursion.
+    The quotient holds nodes between fragments only and shrinks with every
+    level; the last one fits a fragment. Should links be so many that it does
+    not shrink (every node with many parents everywhere), fragments double.
     """
-    k, n = _contract(edges, size, segments, base)
-    if n == 1:
-        return k, None
+    k, total = _contract(edges, size, segments, level)
+    local = k.where("scc IS NOT NULL").select("s", "scc").distinct()
+    if total <= size:
+        return k, local, None
     q = materialize(_quotient(k), "quotient")
-    if q.isEmpty():
-        return k, None
-    return _expand_cycles(k, q, size, segments)
+    left = q.count()
+    if left == 0:
+        return k, local, None
+    if level and left > 0.98 * total:
+        size *= 2
+    kq, rings, upper = _solve(q, size, segments, level + 1)
+    solved = _paths(kq, upper) if segments else None
+    return k, materialize(_expanded(k, local, kq, rings), "cycles"), solved
 
 
-def _expand_cycles(k: DataFrame, q: DataFrame, size: int, segments: bool) -> tuple[DataFrame, DataFrame]:
-    kq, upper = _solve(q, size * 2, segments, base=False)
-    solved = _paths(kq, upper) if segments else None
-    on = kq.where("cyclic AND o IS NOT NULL").select(F.col("s").alias("x"), F.col("o").alias("y"))
-    #: both ends on cycles: the pair may still only link two cycles, which the
-    #: strongly connected set of its ends tells apart
-    both = on.join(on.select(F.col("x").alias("y")).distinct(), "y", "left_semi")
-    if both.isEmpty():
-        return k, solved
-    both = materialize(both, "both-on-cycles")
-    pairs = _same_cycle_here(both) if both.count() <= size else _same_cycle(both)
-    where = k.where("o IS NOT NULL AND primary").select("frag", F.col("s").alias("x")).join(pairs, "x")
-    todo = materialize(where.select("frag", "x", "y"), "cycle-entries")
+def _expanded(k: DataFrame, local: DataFrame, kq: DataFrame, rings: DataFrame) -> DataFrame:
+    """(s, scc) of the fragments' nodes, from the cycles of their quotient.
+
+    A link of the quotient lies on a cycle when both its ends are in one
+    strongly connected set; then so do the nodes that it passes in its
+    fragment. Only fragments with such links are contracted again.
+    """
+    ends = materialize(rings, "rings")
+    link = kq.where("o IS NOT NULL").select("s", "o").join(ends, "s").join(ends.select(F.col("s").alias("o"), F.col("scc").alias("_of")), "o").where("scc = _of")
+    where = k.where("o IS NOT NULL AND primary").select("frag", "s")
+    todo = materialize(link.join(where, "s").select("frag", F.col("s").alias("x"), F.col("o").alias("y"), "scc").distinct(), "cycle-entries")
 
     def mark(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"s": pd.Series([], dtype=object)})
+            return pd.DataFrame({"s": [], "scc": []}, dtype=object)
         f = _Fragment(left.assign(hops=1, seg=None), False)
-        hit: set[int] = set()
-        for x, y in right.drop_duplicates(["x", "y"])[["x", "y"]].itertuples(index=False):
-            hit |= f.between(x, y)
-        return pd.DataFrame({"s": [f.names[v] for v in sorted(hit)]}, dtype=object)
-
-    local = k.where("o IS NOT NULL").join(todo.select("frag").distinct(), "frag", "left_semi").select("frag", "s", "o", "primary")
-    more = local.groupBy("frag").cogroup(todo.groupBy("frag")).applyInPandas(mark, "s string").distinct()
-    more = more.withColumn("_more", F.lit(True))
-    full = k.join(more, "s", "left").withColumn("cyclic", F.col("cyclic") | F.coalesce("_more", F.lit(False))).drop("_more")
-    return materialize(full.select(k.columns), "cycles"), solved
-
+        hit: dict[int, str] = {}
+        for x, y, scc in right[["x", "y", "scc"]].itertuples(index=False):
+            hit |= dict.fromkeys(f.between(x, y), scc)
+        return pd.DataFrame({"s": [f.names[v] for v in hit], "scc": list(hit.values())}, dtype=object)
 
-def _same_cycle_here(pairs: DataFrame) -> DataFrame:
-    """Of (x, y), no more than a fragment's worth, those inside one cycle."""
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        e = pd.concat(parts, ignore_index=True).drop_duplicates()
-        codes, names = pd.factorize(np.concatenate([e["x"].to_numpy(), e["y"].to_numpy()]))
-        x, y = codes[: len(e)], codes[len(e) :]
-        graph: dict[int, list[int]] = {i: [] for i in range(len(names))}
-        for a, b in zip(x.tolist(), y.tolist(), strict=True):
-            graph[a].append(b)
-        label = np.zeros(len(names), dtype=int)
-        for k, scc in enumerate(_sccs(graph)):
-            label[scc] = k
-        yield e[label[x] == label[y]][["x", "y"]]
-
-    return materialize(pairs.coalesce(1).mapInPandas(solve, "x string, y string"), "same-cycle")
-
-
-def _same_cycle(pairs: DataFrame) -> DataFrame:
-    """Of (x, y) between nodes on cycles, those inside one cycle.
-
-    Nodes on cycles are labelled by the smallest node that they reach and the
-    smallest that reaches them, in rounds until nothing changes; in one
-    strongly connected set both labels agree. Pairs whose ends agree in both
-    and in which the set has not been split any further are kept.
-    """
-    live = pairs.distinct()
-    while True:
-        fwd = _smallest(live, "x", "y")
-        back = _smallest(live, "y", "x")
-        lab = fwd.withColumnRenamed("label", "f").join(back.withColumnRenamed("label", "b"), "v", "full")
-        lab = materialize(lab, "labels")
-        a = lab.select(F.col("v").alias("x"), F.col("f").alias("fx"), F.col("b").alias("bx"))
-        b = lab.select(F.col("v").alias("y"), F.col("f").alias("fy"), F.col("b").alias("by"))
-        same = live.join(a, "x").join(b, "y").where("fx = fy AND bx = by").select("x", "y")
-        same = materialize(same, "same-cycle")
-        if same.count() == live.count():
-            return same
-        live = same
-
-
-def _smallest(pairs: DataFrame, frm: str, to: str) -> DataFrame:
-    """(v, label): the smallest node reachable from v along frm -> to, v included."""
-    e = pairs.select(F.col(frm).alias("v"), F.col(to).alias("t")).distinct()
-    nodes = e.select("v").union(e.select(F.col("t"))).distinct()
-    lab = materialize(nodes.withColumn("label", F.col("v")), "label")
-    while True:
-        seen = e.join(lab.withColumnRenamed("v", "t"), "t").groupBy("v").agg(F.min("label").alias("m"))
-        new = lab.join(seen, "v", "left").select("v", F.least("label", F.coalesce("m", "label")).alias("label"), (F.col("m") < F.col("label")).alias("changed"))
-        new = materialize(new, "label")
-        if new.where("changed").isEmpty():
-            return new.select("v", "label")
-        lab = new.select("v", "label")
+    edges = k.where("o IS NOT NULL").join(todo.select("frag").distinct(), "frag", "left_semi").select("frag", "s", "o", "primary")
+    more = materialize(edges.groupBy("frag").cogroup(todo.groupBy("frag")).applyInPandas(mark, "s string, scc string"), "on-cycles")
+    return more.unionByName(local.join(more, "s", "left_anti"))
 
 
 def _paths(k: DataFrame, upper: DataFrame | None) -> DataFrame:
-    """(uri, root, depth, path, cyclic, n_parents) of every child node."""
-    own = k.where("primary").select(F.col("s").alias("uri"), "exit", "hops", "seg", "cyclic", "n_parents")
-    lost = own.where("exit IS NULL").select(F.col("uri").alias("exit"), F.lit(True).alias("_lost"))
-    own = own.join(lost, "exit", "left").withColumn("exit", F.when(F.col("_lost").isNull(), F.col("exit"))).drop("_lost")
+    """(uri, root, depth, path, n_parents) of every child node; root, depth and
+    path are NULL where the path runs into a cycle."""
+    own = k.where("primary").select(F.col("s").alias("uri"), "exit", "hops", "seg", "n_parents")
+    lost = materialize(own.where("exit IS NULL").select(F.col("uri").alias("exit")), "lost")
+    own = own.join(lost.withColumn("_lost", F.lit(True)), "exit", "left").withColumn("exit", F.when(F.col("_lost").isNull(), F.col("exit"))).drop("_lost")
     if upper is None:
         out = own.withColumn("root", F.col("exit")).withColumn("up", F.col("exit")).withColumn("above", F.lit(0))
     else:
@@ -354,13 +309,13 @@ def _paths(k: DataFrame, upper: DataFrame | None) -> DataFrame:
         "uri", "root",
         F.when(rooted, F.col("hops") + F.col("above")).alias("depth"),
         F.when(rooted, F.concat_ws(SEP, "up", "seg")).alias("path"),
-        "cyclic", "n_parents",
+        "n_parents",
     )
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
     e = pairs.where("s IS NOT NULL AND o IS NOT NULL").select("s", "o").distinct()
-    return materialize(e, "edges").select("s", "o", F.lit(False).alias("primary"), F.lit(1).cast("bigint").alias("hops"), F.col("s").alias("seg"))
+    return materialize(e, "edges").select("s", "o", F.lit(False).alias("primary"), F.lit(None).cast("string").alias("lead"), F.lit(1).cast("bigint").alias("hops"), F.col("s").alias("seg"))
 
 
 def cyclic_nodes(pairs: DataFrame, fragment_edges: int = FRAGMENT_EDGES) -> DataFrame:
@@ -370,8 +325,13 @@ def cyclic_nodes(pairs: DataFrame, fragment_edges: int = FRAGMENT_EDGES) -> Data
     NULL end do not count, repeated rows count once, a row from a node to
     itself is a cycle, and an empty table has none.
     """
-    k, _ = _solve(_edges(pairs), fragment_edges, segments=False)
-    return k.where("cyclic").select(F.col("s").alias("uri")).distinct()
+    return _solve(_edges(pairs), fragment_edges, segments=False)[1].select(F.col("s").alias("uri"))
+
+
+def cycles(pairs: DataFrame, fragment_edges: int = FRAGMENT_EDGES) -> DataFrame:
+    """(uri, cycle): nodes that reach themselves, and the name (one of its
+    nodes) of the strongly connected set that each of them is in."""
+    return _solve(_edges(pairs), fragment_edges, segments=False)[1].select(F.col("s").alias("uri"), F.col("scc").alias("cycle"))
 
 
 def hierarchy(pairs: DataFrame, fragment_edges: int = FRAGMENT_EDGES) -> DataFrame:
@@ -384,8 +344,10 @@ def hierarchy(pairs: DataFrame, fragment_edges: int = FRAGMENT_EDGES) -> DataFra
     repeated rows and empty tables are treated as in ``cyclic_nodes``.
     """
     edges = _edges(pairs)
-    k, upper = _solve(edges, fragment_edges, segments=True)
-    below = _paths(k, upper).select("uri", "root", "depth", F.split("path", SEP).alias("path"), "n_parents", F.col("cyclic").alias("in_cycle"))
+    k, rings, upper = _solve(edges, fragment_edges, segments=True)
+    rings = materialize(rings, "rings").select(F.col("s").alias("uri"), F.lit(True).alias("_on"))
+    below = _paths(k, upper).join(rings, "uri", "left")
+    below = below.select("uri", "root", "depth", F.split("path", SEP).alias("path"), "n_parents", F.coalesce("_on", F.lit(False)).alias("in_cycle"))
     tops = edges.select(F.col("o").alias("uri")).distinct().join(edges.select(F.col("s").alias("uri")), "uri", "left_anti")
     tops = tops.select("uri", F.col("uri").alias("root"), F.lit(0).cast("bigint").alias("depth"), F.array("uri").alias("path"), F.lit(0).alias("n_parents"), F.lit(False).alias("in_cycle"))
     return below.unionByName(tops)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexmill.model import PREFIXES, TRIPLES
+from codexmill.session import materialize
 
 KEY = ["g", "s", "p", "o"]
 
@@ -45,18 +46,32 @@ def merged(*graphs: DataFrame) -> DataFrame:
 
 def replace_subjects(new: DataFrame, path: str) -> None:
     """What is stated about the subjects of ``new`` becomes exactly ``new``.
-    Only the graphs that hold or receive such statements are rewritten; the new
-    state is materialised before it overwrites them."""
-    from codexmill.session import materialize
 
+    Only the graphs that hold or receive such statements are rewritten; the new
+    state is materialised before it overwrites them. A graph that is left
+    without statements loses its partition. A NULL graph is a graph like any
+    other; statements without a subject stay as they are and are only added.
+    """
     spark = new.sparkSession
     fresh = new.select([c.split()[0] for c in TRIPLES.split(", ")]).distinct()
+    emptied: list[str | None] = []
     if exists(spark, path):
-        old = read(spark, path)
-        graphs = fresh.select("g").union(old.join(fresh.select("s").distinct(), "s", "left_semi").select("g")).distinct()
-        kept = without(old.join(graphs, "g", "left_semi"), fresh)
-        fresh = materialize(merged(kept.select(fresh.columns), fresh), "store")
+        old, about = read(spark, path), fresh.select("s").distinct()
+        graphs = fresh.select("g").union(old.join(about, "s", "left_semi").select("g")).distinct()
+        within = old.alias("o").join(graphs.alias("k"), F.col("o.g").eqNullSafe(F.col("k.g")), "left_semi")
+        fresh = materialize(merged(without(within, about).select(fresh.columns), fresh), "store")
+        #: graphs are partitions, so they are few
+        left = {r["g"] for r in fresh.select("g").distinct().collect()}
+        emptied = [r["g"] for r in graphs.collect() if r["g"] not in left]
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("g").parquet(path)
+    _drop_partitions(spark, path, emptied)
+
+
+def _drop_partitions(spark: SparkSession, path: str, graphs: list[str | None]) -> None:
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for g in graphs:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path, names.getPartitionPathString("g", g))
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def curie_expanded(name: Column) -> Column:

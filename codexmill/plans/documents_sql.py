@@ -69,9 +69,10 @@ CASE WHEN contains(title, ' om ') THEN substr(title, strpos(title, ' om ') + 4)
 trim(regexp_replace(title, '[ \t\r\n]+', ' ', 'g'), ' ') AS plain, CAST(length(title) AS INT) AS n FROM (SELECT DISTINCT title FROM sfs_snapshots)""",
     "slug": f"SELECT rubrik, {_slug('rubrik')} AS slug FROM (SELECT DISTINCT rubrik FROM nodes WHERE rubrik IS NOT NULL)",
     "short_urls": r"""WITH u AS (SELECT DISTINCT unnest(regexp_extract_all(text, '(https?://[^\s\])]+)', 1)) AS url FROM documents),
-b AS (SELECT url, regexp_replace(url, '^[a-z]+://', '') AS bare FROM u),
-c AS (SELECT url, bare, regexp_extract(bare, '^([^/]*)', 1) || '/.../' || regexp_extract(regexp_replace(bare, '/+$', ''), '([^/]*)$', 1) AS short FROM b)
-SELECT url, CASE WHEN length(bare) <= 40 THEN bare WHEN length(short) <= 40 THEN short ELSE left(short, 37) || '...' END AS short FROM c""",
+b AS (SELECT url, string_split(rtrim(url, '/'), '/')[-1] AS name, length(url) - length(rtrim(url, '/')) AS slashes FROM u),
+c AS (SELECT url, CASE WHEN name = '' OR slashes > 1 THEN '' ELSE '/' || name || repeat('/', slashes) END AS last FROM b),
+d AS (SELECT url, last, substr(url, 1, length(url) - length(last)) AS head FROM c)
+SELECT url, CASE WHEN length(url) <= 40 OR last = '' THEN url WHEN length(head) > 37 THEN substr(head, 1, 37) || '...' || last ELSE head || substr(last, 1, 37) || '...' END AS short FROM d""",
     "pdf_rule": """WITH f AS (SELECT DISTINCT fsnummer, TRY_CAST(split_part(fsnummer, ':', 1) AS INT) AS y, TRY_CAST(regexp_extract(fsnummer, ':([0-9]+)', 1) AS INT) AS n FROM sfs_snapshots WHERE fsnummer IS NOT NULL),
 h AS (SELECT *, (y > 1998 OR (y = 1998 AND n >= 306)) AND (y < 2018 OR (y = 2018 AND n < 160)) AS official_pdf FROM f)
 SELECT fsnummer, official_pdf, y > 2018 OR (y = 2018 AND n >= 160) AS authentic, CASE WHEN official_pdf THEN substr(fsnummer, 3, 2) || printf('%04d', n) END AS pdf FROM h""",

@@ -1,7 +1,8 @@
 """The stored graph queries, each for all acts at once (column ``root``).
 
-``inbound_of`` and its siblings take any set of roots; the registered queries
-ask for every URI without a fragment that contains something.
+The registered queries ask for every act; ``inbound_of`` and its siblings take
+any set of roots. Containment is followed upwards from the nodes that are
+referred to, so provisions that nothing refers to are never expanded.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexmill import model as M
-from codexmill.operators.closure import hops
-from codexmill.operators.hierarchy import descendants
+from codexmill.operators.closure import above, closure, hops
 from codexmill.session import table
 
 
@@ -21,103 +21,99 @@ def part_of(t: DataFrame) -> DataFrame:
     return M.pattern(t, M.PART_OF, "child", "parent")
 
 
-def acts(t: DataFrame) -> DataFrame:
-    return part_of(t).where("NOT contains(parent, '#')").select(F.col("parent").alias("root")).distinct()
-
-
-def _below(t: DataFrame, roots: DataFrame, star: bool) -> DataFrame:
-    """(root, lagrum) along ``dct:isPartOf*`` or ``+``: pairs come from the
-    solved hierarchy, so no round trip per level of containment is needed."""
-    pairs = descendants(part_of(t).select(F.col("child").alias("s"), F.col("parent").alias("o")))
-    below = pairs.select(F.col("uri").alias("root"), F.col("descendant").alias("lagrum")).join(roots, "root", "left_semi")
+def _rooted(t: DataFrame, refs: DataFrame, star: bool, roots: DataFrame | None) -> DataFrame:
+    """``refs`` with the ``root`` that each ``lagrum`` lies below along
+    ``dct:isPartOf*`` or ``+``: any act, or one of the given roots."""
+    if roots is not None:
+        below = closure(part_of(t), roots, include_roots=star).withColumnRenamed("node", "lagrum")
+        return refs.join(below, "lagrum")
+    asked = refs.select(F.col("lagrum").alias("node")).distinct()
+    up = above(part_of(t), asked).where(M.is_act(F.col("root")))
     if star:
-        below = below.where("root <> lagrum").unionByName(roots.select("root", F.col("root").alias("lagrum")))
-    return below
+        own = asked.where(M.is_act(F.col("node"))).withColumn("root", F.col("node"))
+        up = up.where("node <> root").unionByName(own)
+    return refs.join(up.withColumnRenamed("node", "lagrum"), "lagrum")
 
 
-def inbound_of(t: DataFrame, roots: DataFrame) -> DataFrame:
+def inbound_of(t: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """References to a root and all that it contains; in order where roots are given."""
     refs = M.pattern(t, M.REFERENCES, "uri", "lagrum")
-    return refs.join(_below(t, roots, True), "lagrum").select("root", "uri", F.lit(None).cast("string").alias("label"), "lagrum").orderBy("root", "uri", "lagrum")
+    out = _rooted(t, refs, True, roots).select("root", "uri", F.lit(None).cast("string").alias("label"), "lagrum")
+    return out if roots is None else out.orderBy("root", "uri", "lagrum")
 
 
-def changes_of(t: DataFrame, roots: DataFrame) -> DataFrame:
+def changes_of(t: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     changes = M.pattern(t, M.CHANGES, "change", "lagrum")
     ids = M.pattern(t, M.FS_NUMBER, "change", "id")
-    return changes.join(_below(t, roots, False), "lagrum").join(ids, "change").select("root", "change", "id", "lagrum")
+    return _rooted(t, changes, False, roots).join(ids, "change").select("root", "change", "id", "lagrum")
 
 
-def cases_of(t: DataFrame, roots: DataFrame) -> DataFrame:
+def cases_of(t: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     refs = M.pattern(t, M.LAGRUM_P, "uri", "lagrum")
     ids, desc = M.pattern(t, M.IDENTIFIER, "uri", "id"), M.pattern(t, M.DESCRIPTION, "uri", "desc")
-    return refs.join(_below(t, roots, True), "lagrum").join(ids, "uri").join(desc, "uri").select("root", "uri", "id", "desc", "lagrum").orderBy("root", "uri", "lagrum")
+    out = _rooted(t, refs, True, roots).join(ids, "uri").join(desc, "uri").select("root", "uri", "id", "desc", "lagrum")
+    return out if roots is None else out.orderBy("root", "uri", "lagrum")
 
 
-def descriptions_of(t: DataFrame, roots: DataFrame) -> DataFrame:
-    desc = M.pattern(t, M.DESCRIPTION, "lagrum", "desc")
-    return desc.join(_below(t, roots, True), "lagrum").select("root", "lagrum", "desc")
+def descriptions_of(t: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    return _rooted(t, M.pattern(t, M.DESCRIPTION, "lagrum", "desc"), True, roots).select("root", "lagrum", "desc")
 
 
-def _routes(t: DataFrame, refs: DataFrame, roots: DataFrame, first: int, last: int) -> DataFrame:
-    """``refs`` to ``lagrum`` with the roots that lie 0 to ``last`` steps above,
-    a row for every route; at 0 steps ``lagrum`` is unbound."""
+def _routes(t: DataFrame, refs: DataFrame, first: int, last: int) -> DataFrame:
+    """``refs`` to ``lagrum`` with the acts that lie ``first`` to ``last`` steps
+    above, a row for every route; at 0 steps ``lagrum`` is unbound."""
     e = part_of(t)
     parts = []
     for k in range(first, last + 1):
         if k:
-            up = hops(e, k).withColumnRenamed("node", "lagrum")
-            parts.append(refs.join(up, "lagrum").join(roots, "root", "left_semi"))
+            parts.append(refs.join(hops(e, k).where(M.is_act(F.col("root"))).withColumnRenamed("node", "lagrum"), "lagrum"))
         else:
-            parts.append(refs.withColumn("root", F.col("lagrum")).join(roots, "root", "left_semi").withColumn("lagrum", F.lit(None).cast("string")))
+            parts.append(refs.where(M.is_act(F.col("lagrum"))).withColumn("root", F.col("lagrum")).withColumn("lagrum", F.lit(None).cast("string")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def inbound_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = M.stated(spark, sf_dir)
-    return inbound_of(t, acts(t))
+    return inbound_of(M.statements(spark, sf_dir))
 
 
 def changes_plus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = M.graph(spark, sf_dir)
-    return changes_of(t, acts(t))
+    return changes_of(M.graph(spark, sf_dir))
 
 
 def case_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = M.graph(spark, sf_dir)
-    return cases_of(t, acts(t))
+    return cases_of(M.graph(spark, sf_dir))
 
 
 def wiki_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = M.graph(spark, sf_dir)
-    return descriptions_of(t, acts(t))
+    return descriptions_of(M.graph(spark, sf_dir))
 
 
 def inbound_unrolled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = M.stated(spark, sf_dir)
-    r = _routes(t, M.pattern(t, M.REFERENCES, "uri", "lagrum"), acts(t), 0, 5)
+    t = M.statements(spark, sf_dir)
+    r = _routes(t, M.pattern(t, M.REFERENCES, "uri", "lagrum"), 0, 5)
     return r.select("root", "uri", F.lit(None).cast("string").alias("label"), "lagrum")
 
 
 def changes_unrolled(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = M.graph(spark, sf_dir)
-    r = _routes(t, M.pattern(t, M.CHANGES, "change", "lagrum"), acts(t), 1, 2)
+    r = _routes(t, M.pattern(t, M.CHANGES, "change", "lagrum"), 1, 2)
     return r.join(M.pattern(t, M.FS_NUMBER, "change", "id"), "change").select("root", "change", "id", "lagrum")
 
 
 def case_refs_unrolled(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = M.graph(spark, sf_dir)
-    r = _routes(t, M.pattern(t, M.LAGRUM_P, "uri", "lagrum"), acts(t), 0, 5)
+    r = _routes(t, M.pattern(t, M.LAGRUM_P, "uri", "lagrum"), 0, 5)
     return r.join(M.pattern(t, M.IDENTIFIER, "uri", "id"), "uri").join(M.pattern(t, M.DESCRIPTION, "uri", "desc"), "uri").select("root", "uri", "id", "desc", "lagrum")
 
 
 def wiki_unrolled(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = M.graph(spark, sf_dir)
-    r = _routes(t, M.pattern(t, M.DESCRIPTION, "lagrum", "desc"), acts(t), 0, 2)
-    return r.select("root", "lagrum", "desc")
+    return _routes(t, M.pattern(t, M.DESCRIPTION, "lagrum", "desc"), 0, 2).select("root", "lagrum", "desc")
 
 
 def backlinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Who refers to a node, its parts or their parts: distinct, for all nodes."""
-    t = M.stated(spark, sf_dir)
+    t = M.statements(spark, sf_dir)
     refs, e = M.pattern(t, M.REFERENCES, "source", "node"), part_of(t)
     up = refs.select("node", "source")
     parts = [up] + [refs.join(hops(e, k), "node").select(F.col("root").alias("node"), "source") for k in (1, 2)]
@@ -125,11 +121,12 @@ def backlinks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def subjects_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.stated(spark, sf_dir).where(F.col("p") == M.SUBJECT).select(F.col("o").alias("subj"))
+    """Subjects as often as they are stated."""
+    return M.statements(spark, sf_dir).where(F.col("p") == M.SUBJECT).select(F.col("o").alias("subj"))
 
 
 def subjects_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.pattern(M.stated(spark, sf_dir), M.SUBJECT, "s", "subj", g="dv").select("subj").distinct()
+    return M.pattern(M.statements(spark, sf_dir), M.SUBJECT, "s", "subj", g="dv").select("subj").distinct()
 
 
 def prefix_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +143,7 @@ def first_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def constructed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A CONSTRUCT: cited acts as subjects of the inverse relation."""
-    t = M.pattern(M.stated(spark, sf_dir), M.LAGRUM_P, "case", "lagrum")
+    t = M.pattern(M.statements(spark, sf_dir), M.LAGRUM_P, "case", "lagrum")
     return t.select(F.col("lagrum").alias("s"), F.lit("rinfo:isLagrumFor").alias("p"), F.col("case").alias("o")).distinct()
 
 
@@ -184,7 +181,7 @@ def concept_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "documents").where("source = 'wiki'").select("doc_id", F.lower(name).alias("concept"), "text").where("concept <> ''")
     words = F.size(F.filter(F.split("text", "[ \r\n\t]+"), lambda x: x != ""))
     w = pages.groupBy("concept").agg(F.sum(words).alias("words"), F.count("*").alias("wikipedia"))
-    cases = M.pattern(M.stated(spark, sf_dir), M.SUBJECT, "s", "o").groupBy(F.lower("o").alias("concept")).agg(F.count("*").alias("cases"))
+    cases = M.pattern(M.statements(spark, sf_dir), M.SUBJECT, "s", "o").groupBy(F.lower("o").alias("concept")).agg(F.count("*").alias("cases"))
     defs = table(spark, sf_dir, "documents").where("source = 'sfs'").select(F.explode(F.regexp_extract_all("text", F.lit(r"Med ([^ ]+) avses"), F.lit(1))).alias("c"))
     d = defs.groupBy(F.lower("c").alias("concept")).agg(F.count("*").alias("definitions"))
     out = w.join(cases, "concept", "full").join(d, "concept", "full")
@@ -210,7 +207,8 @@ t AS (
   UNION SELECT regexp_extract(doc, '^(.*/)[^/]*$', 1) || substr(node_id, 2), 'rinfo:fsNummer', substr(node_id, 2) FROM node WHERE node_type = 'Overgangsbestammelse' AND node_id LIKE 'L%'
 ),
 e AS (SELECT DISTINCT s AS child, o AS parent FROM stated WHERE p = 'dct:isPartOf'),
-acts AS (SELECT DISTINCT parent AS root FROM e WHERE NOT contains(parent, '#')),
+acts AS (SELECT DISTINCT u AS root FROM (SELECT parent AS u FROM e UNION SELECT o FROM t WHERE p IN ('dct:references', 'rinfo:lagrum', 'rinfo:ersatter', 'rinfo:inforsI', 'rinfo:upphaver') UNION SELECT s FROM t WHERE p = 'dct:description')
+  WHERE starts_with(u, 'http://rinfo.example/publ/sfs/') AND NOT contains(u, '#')),
 plus AS (SELECT a.root, e.child AS node FROM acts a JOIN e ON e.parent = a.root UNION SELECT b.root, e.child FROM plus b JOIN e ON e.parent = b.node),
 star AS (SELECT root, node FROM plus UNION SELECT root, root FROM acts),
 h1 AS (SELECT child AS node, parent AS root FROM e), h2 AS (SELECT h.node, e.parent AS root FROM h1 h JOIN e ON e.child = h.root),
@@ -244,7 +242,7 @@ ORACLE = {
     "case_refs_unrolled": _T + "SELECT root, uri, i.o AS id, d.o AS \"desc\", lagrum FROM (" + _unrolled(_CASES, "r.uri", 0, 5) + ") JOIN (SELECT DISTINCT s, o FROM t WHERE p = 'dct:identifier') i ON i.s = uri JOIN (SELECT DISTINCT s, o FROM t WHERE p = 'dct:description') d ON d.s = uri",
     "wiki_unrolled": _T + _unrolled(_DESC, 'r."desc"', 0, 2),
     "backlinks": _T + "SELECT DISTINCT node, source FROM (WITH r AS (SELECT DISTINCT s AS source, o AS node FROM t WHERE p = 'dct:references') SELECT node, source FROM r UNION SELECT h.root, source FROM r JOIN h1 h USING (node) UNION SELECT h.root, source FROM r JOIN h2 h USING (node))",
-    "subjects_all": "SELECT o AS subj FROM (SELECT DISTINCT g, s, p, o, o_kind, o_datatype, o_lang FROM triples WHERE s IS NOT NULL AND o IS NOT NULL) WHERE p = 'dct:subject'",
+    "subjects_all": "SELECT o AS subj FROM triples WHERE s IS NOT NULL AND o IS NOT NULL AND p = 'dct:subject'",
     "subjects_distinct": "SELECT DISTINCT o AS subj FROM triples WHERE p = 'dct:subject' AND g = 'dv' AND s IS NOT NULL AND o IS NOT NULL",
     "prefix_slice": _T + "SELECT split_part(s, '#', 1) AS slice, g, s, p, o FROM stated WHERE starts_with(s, 'http://rinfo.example/publ/sfs/')",
     "first_value": _T + "SELECT s, p, min(o) AS o, count(*) AS n_values FROM stated GROUP BY s, p",

@@ -139,6 +139,33 @@ def test_markup_headings_and_contents():
     assert "toc" not in markup.render("== A ==\n== B ==") and "toc" in markup.render("__FORCETOC__\n== A ==")
 
 
+def test_hooks_reach_the_workers(spark):
+    df = spark.createDataFrame([("<loud>x</loud>",)], "t string")
+    shout = {"loud": lambda body, attrs: f"<b>{body.upper()}</b>"}
+    assert df.select(markup.html("t", hooks=shout)).collect()[0][0] == "<p><b>X</b></p>"
+    assert df.select(markup.html("t")).collect()[0][0] == "<p>&lt;loud&gt;x&lt;/loud&gt;</p>"
+    markup.register_hook("loud", shout["loud"])
+    try:
+        assert df.select(markup.html_lite("t")).collect()[0][0] == "<p><b>X</b></p>"
+    finally:
+        del markup.HOOKS["loud"]
+
+
+def test_attributes_by_element_and_code_points():
+    assert markup.render('<table border="1" cite="x"><tr><td height="2">a</td></tr></table>') == '<table border="1"><tr><td height="2">a</td></tr></table>'
+    assert markup.render('<span height="2" lang="sv" onclick="x">a</span>') == '<p><span lang="sv">a</span></p>'
+    assert markup.render('<blockquote cite="u">a</blockquote><ol start="3"><li value="4">b</li></ol>') == '<blockquote cite="u">a</blockquote><ol start="3"><li value="4">b</li></ol>'
+    assert markup.render("&#65; &#0; &#xD800; &#x1F600; &eacute; &nosuch; &") == "<p>&#65; &amp;#0; &amp;#xD800; &#x1F600; &eacute; &amp;nosuch; &amp;</p>"
+
+
+def test_short_urls(spark):
+    urls = ["http://a.example/b", "http://a.example/" + "x" * 50, "http://a.example/" + "y/" * 30 + "end/", "http://" + "h" * 60]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    got = [r[0] for r in df.select(X.short_url(F.col("u"))).collect()]
+    assert got == [urls[0], "http://a.example/" + "x" * 36 + "...", urls[2][:37] + ".../end/", "http://" + "h" * 36 + "..."]
+    assert got == [markup.shortened(u) for u in urls]
+
+
 def test_hooks_and_categories():
     markup.register_hook("quote", lambda body, attrs: f"<q cite='{attrs.get('by')}'>{body}</q>")
     assert markup.render('<quote by="me">x</quote>') == "<p><q cite='me'>x</q></p>"

@@ -77,9 +77,23 @@ def test_empty_table(spark):
     assert H.cyclic_nodes(df).count() == 0 and H.hierarchy(df).count() == 0 and H.descendants(df).count() == 0
 
 
-def test_cycles_across_fragments_without_the_one_task_shortcut(spark, monkeypatch):
-    monkeypatch.setattr(H, "_same_cycle_here", H._same_cycle)
-    edges = random_edges(2, 60, 5, 4)
+def test_cycles_are_told_apart(spark):
+    edges = random_edges(2, 60, 5, 4) + [("n0", "n1"), ("n1", "n0"), ("n1", "q"), ("q", "r"), ("r", "q")]
     _, above = brute(edges)
-    got = {r[0] for r in rows(H.cyclic_nodes(spark.createDataFrame(edges, "s string, o string"), 12))}
-    assert got == {s for s in above if s in above[s]}
+    got = dict(rows(H.cycles(spark.createDataFrame(edges, "s string, o string"), 12)))
+    assert set(got) == {s for s in above if s in above[s]}
+    for v in got:
+        same = {w for w in got if w in above[v] and v in above[w]}
+        assert got[v] in same and {w for w in got if got[w] == got[v]} == same
+
+
+def test_names_without_any_locality(spark):
+    """A long chain and a long cycle whose names are in no order: fragments
+    keep their size and the quotient still shrinks."""
+    r = random.Random(5)
+    names = [f"{x:06d}" for x in r.sample(range(10**6), 700)]
+    edges = list(zip(names[:400], names[1:401], strict=True)) + list(zip(names[401:], names[402:] + names[401:402], strict=True))
+    df = spark.createDataFrame(edges, "s string, o string")
+    assert {x[0] for x in rows(H.cyclic_nodes(df, 150))} == set(names[401:])
+    got = {x["uri"]: x for x in H.hierarchy(df, 150).collect()}
+    assert got[names[0]]["path"] == names[400::-1] and got[names[500]]["path"] is None and got[names[500]]["in_cycle"]

@@ -69,6 +69,17 @@ def test_store(spark, tmp_path):
     assert rows(store.read(spark, path).select("g", "s", "p", "o")) == [("g1", "s1", "q", "3"), ("g2", "s2", "p", "2")]
 
 
+def test_replacing_leaves_no_statement_behind(spark, tmp_path):
+    """A subject that moves to another graph is gone from the one it leaves,
+    also where that one is then empty."""
+    path = str(tmp_path / "moved")
+    store.add(triples(spark, [("A", "1", "p", "old"), ("B", "2", "p", "x"), (None, "3", "p", "y"), ("C d/é", "4", "p", "z")]), path)
+    store.replace_subjects(triples(spark, [("B", "1", "p", "new")]), path)
+    assert rows(store.read(spark, path).select("g", "s", "o")) == [(None, "3", "y"), ("B", "1", "new"), ("B", "2", "x"), ("C d/é", "4", "z")]
+    store.replace_subjects(triples(spark, [("B", "3", "p", "moved"), ("B", "4", "p", "moved")]), path)
+    assert rows(store.read(spark, path).select("g", "s", "o")) == [("B", "1", "new"), ("B", "2", "x"), ("B", "3", "moved"), ("B", "4", "moved")]
+
+
 def test_n_triples_both_ways(spark):
     t = triples(spark, [("g", "http://x/1", "dct:title", 'a "b"\n\\c\té')]).unionByName(spark.createDataFrame([("g", "http://x/1", "dct:isPartOf", "http://x/2", "uri", None, None), ("g", "_:b1", "dct:title", "t", "literal", None, "sv"), ("g", "http://x/1", "rinfo:d", "2001-01-01", "literal", "xsd:date", None)], "g string, s string, p string, o string, o_kind string, o_datatype string, o_lang string"))
     good, bad = files.n_triples(store.n_triples(t).withColumnRenamed("line", "value"), "g")
