@@ -29,7 +29,7 @@ from codexmill.llm.tokens import VOCABULARY, counter
 from codexmill.session import materialize
 
 #: Bins of one refinement of the rounding threshold; at most this many rows a source reach the driver.
-BINS = 1 << 15
+BINS = 1 << 12
 STEPS = 60
 #: Rounds that fill what the threshold leaves of a source's target.
 FILLS = 6
