@@ -20,18 +20,19 @@ def p3_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.collapsed(table(spark, sf_dir, "direktiv_records")).select("record_id", "number", "n_copies")
 
 
-def _restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields that may hold wrongly decoded text."""
     fields = (("sfs_snapshots", "snapshot_id", "title"), ("dv_cases", "case_id", "description"), ("skvfs_regulations", "reg_id", "body"))
     parts = [table(spark, sf_dir, t).select(F.lit(t).alias("src_table"), F.col(i).alias("row_id"), F.col(c).alias("text")) for t, i, c in fields]
-    return encoding.restored(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _restored(spark, sf_dir).select("src_table", "row_id")
+    return encoding.found(_texts(spark, sf_dir))
 
 
 def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _restored(spark, sf_dir)
+    return encoding.restored(_texts(spark, sf_dir))
 
 
 def _capacities(spark: SparkSession, sf_dir: str) -> dict[str, int]:
