@@ -1,48 +1,70 @@
 """Histories of changing attributes from snapshots.
 
-Tree reduction: every reported value is a unit interval. Neighbouring runs of
-one entity meet in a tree of blocks (64 days, 64 blocks of 64 days, ... the
-entity); where two runs that meet carry equal payloads they become one run.
-Each pair of neighbours is compared in exactly one round, a block passes on to
-the next round no more than its first and last run, and runs inside a block
-are settled and leave. The number of rounds is logarithmic in the span of time.
+Tree reduction: every reported value is a unit interval. The units of an entity
+and a block of days meet in one row, where neighbouring runs are merged in pairs,
+then pairs of pairs and so on, for as many rounds as the logarithm of their
+number; where two runs that meet carry equal payloads they become one run. A
+block has one unit a day at most, so a row is bounded however many snapshots an
+entity has. Over its blocks an entity is then scanned: a block takes the value
+last known from the blocks before it, which settles its first run.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codexmill.operators.scan import fill_and_next
-
-RADIX_BITS = 6
+#: Days in a block (a power of two by its bits); so many units a row holds at most.
+BLOCK_BITS = 10
 OPEN_END = "9999-12-31"
 
 
-def coalesce_runs(units: DataFrame, entity: list[str], at: str, payload: str, rounds: int = 2) -> DataFrame:
-    """First unit of every maximal run of equal payloads.
+def coalesced(units: Column, payload: str) -> Column:
+    """ARRAY<STRUCT<lo, hi, v>>: the maximal runs of equal payloads of
+    ARRAY<STRUCT<at INT, v payload>>, which is in order of ``at`` and has no
+    NULL payload. Equal neighbours merge whatever lies between them in time."""
+    runs = f"array<struct<lo:int,hi:int,v:{payload}>>"
+
+    def met(left: Column, right: Column) -> Column:
+        a, b = F.element_at(left, -1), F.element_at(right, 1)
+        one = F.array(F.struct(a["lo"].alias("lo"), b["hi"].alias("hi"), a["v"].alias("v")))
+        merged = F.concat(F.slice(left, 1, F.size(left) - 1), one, F.slice(right, 2, F.size(right)))
+        return F.when(right.isNull(), left).when(a["v"] == b["v"], merged).otherwise(F.concat(left, right))
+
+    def paired(level: Column) -> Column:
+        pairs = F.sequence(F.lit(0), F.floor((F.size(level) - 1) / 2).cast("int"))
+        return F.transform(pairs, lambda i: met(F.get(level, 2 * i), F.get(level, 2 * i + 1))).cast(f"array<{runs}>")
+
+    leaves = F.transform(units, lambda u: F.array(F.struct(u["at"].alias("lo"), u["at"].alias("hi"), u["v"].alias("v")))).cast(f"array<{runs}>")
+    rounds = F.sequence(F.lit(1), F.ceil(F.log2(F.size(units))).cast("int"))
+    top = F.when(F.size(units) > 1, F.aggregate(rounds, leaves, lambda level, _: paired(level))).otherwise(leaves)
+    return F.coalesce(F.get(top, 0), F.array().cast(runs))
+
+
+def histories(days: DataFrame, attributes: dict[str, str], block_bits: int = BLOCK_BITS) -> DataFrame:
+    """(entity, from_day, to_day, and the attributes) of (entity, day INT, and
+    the attributes), which has one row an entity and day.
 
-    ``units`` has one row per entity and integer time ``at`` with a non-NULL
-    payload. ``rounds`` blocked rounds are followed by the one that joins the
-    blocks of an entity, so the result does not depend on ``rounds``.
+    ``attributes`` has the type of each. NULL in an attribute means that it was
+    not reported: the value last reported stands. A version begins on an
+    entity's first day and wherever an attribute takes another value; ``to_day``
+    is the day that the next one begins, or NULL.
     """
-    cur = units.select(*entity, F.col(at).alias("_lo"), F.col(payload).alias("_first"), F.col(payload).alias("_last"))
-    starts = None
-    for r in range(rounds + 1):
-        top = r == rounds
-        block = F.lit(0) if top else F.shiftright("_lo", RADIX_BITS * (r + 1))
-        x = cur.withColumn("_blk", block)
-        w = Window.partitionBy(*entity, "_blk").orderBy("_lo")
-        met = x.withColumn("_prev_lo", F.lag("_lo").over(w)).withColumn("_prev", F.lag("_last").over(w))
-        begins = F.col("_prev_lo").isNotNull() & (F.col("_prev") != F.col("_first"))
-        if top:
-            begins = begins | F.col("_prev_lo").isNull()
-        settled = met.where(begins).select(*entity, F.col("_lo").alias(at), F.col("_first").alias(payload))
-        starts = settled if starts is None else starts.unionByName(settled)
-        cur = x.groupBy(*entity, "_blk").agg(
-            F.min_by("_first", "_lo").alias("_first"), F.max_by("_last", "_lo").alias("_last"), F.min("_lo").alias("_lo")
-        ).drop("_blk")
-    return starts
+    names = list(attributes)
+    units = F.array_sort(F.collect_list(F.struct("day", *names)))
+    blocks = days.groupBy("entity", F.shiftright("day", block_bits).alias("block")).agg(units.alias("units"))
+    runs_of = lambda a: coalesced(F.transform(F.filter("units", lambda u: u[a].isNotNull()), lambda u: F.struct(u["day"].alias("at"), u[a].alias("v"))), attributes[a])
+    x = blocks.select("entity", "block", F.col("units")[0]["day"].alias("first"), *[runs_of(a).alias(a) for a in names])
+    w = Window.partitionBy("entity").orderBy("block")
+    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    x = x.select("*", F.lag("block").over(w).isNull().alias("opens"), *[F.last(F.try_element_at(a, F.lit(-1))["v"], True).over(before).alias(f"old_{a}") for a in names])
+    changed = lambda a: F.transform(F.filter(a, lambda r, i: (i > 0) | F.col(f"old_{a}").isNull() | (r["v"] != F.col(f"old_{a}"))), lambda r: r["lo"])
+    begins = F.concat(F.when(F.col("opens"), F.array("first")).otherwise(F.array().cast("array<int>")), *[changed(a) for a in names])
+    x = x.withColumn("begins", F.array_sort(F.array_distinct(begins)))
+    x = x.withColumn("later", F.first(F.get("begins", F.lit(0)), True).over(after))
+    x = x.select("*", F.posexplode("begins").alias("i", "from_day"))
+    stands = lambda a: F.coalesce(F.try_element_at(F.filter(a, lambda r: r["lo"] <= F.col("from_day")), F.lit(-1))["v"], F.col(f"old_{a}")).alias(a)
+    return x.select("entity", "from_day", F.coalesce(F.get("begins", F.col("i") + 1), F.col("later")).alias("to_day"), *[stands(a) for a in names])
 
 
 def latest_fetch(snapshots: DataFrame) -> DataFrame:
@@ -55,13 +77,13 @@ def latest_fetch(snapshots: DataFrame) -> DataFrame:
     return (
         snapshots.where(F.col("senasthamtad").isNotNull() & F.col("uri").isNotNull())
         .select(
-            "uri",
+            F.col("uri").alias("entity"),
             F.unix_date("senasthamtad").alias("day"),
-            F.struct("ingested_at", "snapshot_id", "utfardandedatum", kons.alias("kons")).alias("v"),
+            F.struct("ingested_at", "snapshot_id", F.col("utfardandedatum").alias("utf"), kons.alias("kons")).alias("v"),
         )
-        .groupBy("uri", "day")
+        .groupBy("entity", "day")
         .agg(F.max("v").alias("v"))
-        .select("uri", "day", F.col("v.utfardandedatum").alias("utf"), F.col("v.kons").alias("kons"))
+        .select("entity", "day", "v.utf", "v.kons")
     )
 
 
@@ -80,19 +102,12 @@ def version_history(snapshots: DataFrame) -> DataFrame:
     * ``valid_to`` is the day the next version begins or 9999-12-31. An empty
       input gives an empty result.
     """
-    days = latest_fetch(snapshots)
-    attrs = []
-    for name in ("utf", "kons"):
-        runs = coalesce_runs(days.where(F.col(name).isNotNull()).select("uri", "day", name), ["uri"], "day", name)
-        attrs.append(runs.select("uri", "day", *[F.col(c) if c == name else F.lit(None).cast(days.schema[c].dataType).alias(c) for c in ("utf", "kons")]))
-    first = days.groupBy("uri").agg(F.min("day").alias("day"))
-    first = first.select("uri", "day", *[F.lit(None).cast(days.schema[c].dataType).alias(c) for c in ("utf", "kons")])
-    marks = attrs[0].unionByName(attrs[1]).unionByName(first).groupBy("uri", "day").agg(F.max("utf").alias("utf"), F.max("kons").alias("kons"))
-    v = fill_and_next(marks, ["uri"], "day", F.shiftright("day", 10), ["utf", "kons"], "next_day")
+    v = histories(latest_fetch(snapshots), {"utf": "date", "kons": "array<string>"})
+    day = lambda c: F.date_format(F.date_from_unix_date(c), "yyyy-MM-dd")
     return v.select(
-        "uri",
-        F.date_format(F.date_from_unix_date("day"), "yyyy-MM-dd").alias("valid_from"),
-        F.coalesce(F.date_format(F.date_from_unix_date("next_day"), "yyyy-MM-dd"), F.lit(OPEN_END)).alias("valid_to"),
+        F.col("entity").alias("uri"),
+        day("from_day").alias("valid_from"),
+        F.coalesce(day("to_day"), F.lit(OPEN_END)).alias("valid_to"),
         F.col("utf").alias("utfardandedatum"),
         F.col("kons").alias("konsolideringsunderlag"),
     )

@@ -1,7 +1,10 @@
 import datetime as dt
 import random
+from itertools import groupby
 
-from codexmill.operators.history import coalesce_runs, version_history
+from pyspark.sql import functions as F
+
+from codexmill.operators.history import coalesced, histories, version_history
 from tests.conftest import rows
 
 SCHEMA = "snapshot_id bigint, uri string, utfardandedatum date, konsolideringsunderlag array<string>, senasthamtad date, ingested_at timestamp, extra string, _blk int, day int"
@@ -56,9 +59,19 @@ def test_empty_table(spark):
     assert version_history(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_rounds_do_not_change_runs(spark):
+def test_runs_are_maximal(spark):
     r = random.Random(3)
-    days = r.sample(range(20000), 300)
-    df = spark.createDataFrame([("e", t, r.choice("ab")) for t in days], "e string, t int, v string")
-    a, b, c = (rows(coalesce_runs(df, ["e"], "t", "v", rounds=k)) for k in (0, 1, 3))
-    assert a == b == c
+    data = [[(t, r.choice("ab")) for t in sorted(r.sample(range(20000), n))] for n in (0, 1, 2, 3, 7, 8, 9, 64, 301)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(data)], "i int, u array<struct<at:int,v:string>>")
+    got = {x["i"]: [tuple(y) for y in x["r"]] for x in df.select("i", coalesced(F.col("u"), "string").alias("r")).collect()}
+    for i, x in enumerate(data):
+        runs = [list(g) for _, g in groupby(x, key=lambda p: p[1])]
+        assert got[i] == [(g[0][0], g[-1][0], g[0][1]) for g in runs]
+
+
+def test_blocks_do_not_change_versions(spark):
+    r = random.Random(4)
+    days = r.sample(range(-3000, 20000), 200)
+    df = spark.createDataFrame([("e", t, r.choice(["a", "b", None]), r.choice([1, None])) for t in days], "entity string, day int, v string, k int")
+    a, b, c = (rows(histories(df, {"v": "string", "k": "int"}, block_bits=k)) for k in (0, 6, 16))
+    assert a == b == c and len(a) > 50
