@@ -20,6 +20,9 @@ from codexmill.session import materialize
 
 OPEN = 1 << 20
 WORD_BITS = 6
+#: Rows whose keys share a dictionary: one task sorts a bucket, so there are more buckets where there are more rows.
+BUCKET_ROWS = 50_000
+LEAST_BUCKETS = 256
 
 
 def month_no(ts: Column) -> Column:
@@ -78,8 +81,9 @@ def _words(refs: DataFrame, parents: DataFrame, n_buckets: int) -> tuple[DataFra
     return enc.where("kind = 0").select("bucket", "code", F.col("lo").alias("month"), "domain", "key"), words.where("referenced <> 0")
 
 
-def suspects(refs: DataFrame, parents: DataFrame, n_buckets: int = 2048) -> DataFrame:
+def suspects(refs: DataFrame, parents: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """(domain, key, month, certain): the keys of surviving bits by month."""
+    n_buckets = n_buckets or max(LEAST_BUCKETS, -(-(refs.count() + parents.count()) // BUCKET_ROWS))
     coded, words = _words(refs, parents, n_buckets)
     left = words.select(
         "bucket", "word", "month",
@@ -93,7 +97,7 @@ def suspects(refs: DataFrame, parents: DataFrame, n_buckets: int = 2048) -> Data
     return coded.join(bits, ["bucket", "code", "month"]).select("domain", "key", "month", "certain")
 
 
-def find_orphans(refs: DataFrame, parents: DataFrame, n_buckets: int = 2048) -> DataFrame:
+def find_orphans(refs: DataFrame, parents: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """Rows of ``refs`` for whose (domain, key) no row of ``parents`` is live at
     ``at``; a parent is live from ``live_from`` until before ``live_to``.
 
