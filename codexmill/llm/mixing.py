@@ -45,7 +45,7 @@ def counted(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "n_tokens": [n(t) for t in b["text"]]})
 
-    return docs.select("doc_id", "source", "text").mapInPandas(count, "doc_id bigint, source string, n_tokens bigint")
+    return docs.where("doc_id IS NOT NULL").select("doc_id", "source", "text").mapInPandas(count, "doc_id bigint, source string, n_tokens bigint")
 
 
 def plan(targets: list[dict], tokens: dict[str, int], total: float | str | None = None) -> tuple[dict[str, float], dict[str, float]]:
@@ -125,8 +125,8 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | str | None =
     target_share, max_repeats, documents, tokens, mix_tokens, actual_share and
     wanted_share (the target after the shares of empty sources went to the
     others; above actual_share where the repeats don't allow it). ``targets`` is a table of settings with one row a source: it is
-    read to the driver. Documents whose source is NULL or not a target, and
-    those without tokens, are not used. Sources without documents report 0.
+    read to the driver. Documents whose source is NULL or not a target, those
+    without tokens and those without an id are not used. Sources without documents report 0.
     """
     spark = docs.sparkSession
     rows = [r.asDict() for r in targets.where("source IS NOT NULL").collect()]

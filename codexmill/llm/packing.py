@@ -3,7 +3,9 @@
 One pass over the texts counts tokens and projects each text's hashed word
 vector to three dimensions; only (id, tokens, three numbers) go on. Rows are
 range-sorted by the Hilbert key of the three numbers, so neighbours share
-vocabulary, and each range packs its neighbours best-fit in windows.
+vocabulary, and each range packs its neighbours as they come: best fit, largest
+first, among as many as fill a few containers. ``report`` has the stretch of the
+curve that a container's texts come from next to what chance would give.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from codexmill.session import materialize
 
 HASH_DIMS = 1024
 CURVE_BITS = 10
-#: Neighbours along the curve that are fitted together.
-WINDOW = 4096
+#: Containers' worth of neighbours along the curve that are fitted together: fewer lie closer, more leave less room.
+WINDOW = 32
+#: Texts in a range, which one task packs in order, a window at a time.
+RANGE_TEXTS = 1_000_000
 
 
 class _Hashed(WordCodes):
@@ -102,47 +106,152 @@ def on_curve(m: DataFrame) -> DataFrame:
     return m.select("doc_id", "n_tokens", key("x", "y", "z").alias("curve"))
 
 
-def fit(sizes: np.ndarray, capacity: int, window: int = WINDOW) -> tuple[np.ndarray, int]:
-    """Container number of each item (none above capacity), and how many.
+class Packer:
+    """Texts in order into containers of one capacity.
 
-    Best fit, largest first, inside each window of the given order; containers
-    stay open for the next window and are closed after it.
+    A window of ``window`` containers' worth is fitted at a time, best fit,
+    largest first; containers stay open for the next window and are closed
+    after it. What waits or is open is a window's worth, whatever comes.
     """
-    out = np.zeros(len(sizes), dtype=np.int64)
-    n = 0
-    room: dict[int, list[int]] = {}
-    mask = 0
-    closing = 0
-    for lo in range(0, len(sizes), window):
-        opened = n
-        order = lo + np.argsort(-sizes[lo : lo + window], kind="stable")
-        for i in order.tolist():
+
+    def __init__(self, capacity: int, window: int = WINDOW) -> None:
+        self.capacity, self.window = capacity, window * capacity
+        self.n = 0
+        self.room: dict[int, list[int]] = {}
+        self.mask = 0
+        self.closing = 0
+        self.waiting: list[np.ndarray] = []
+        self.tokens = 0
+
+    def whole(self, count: int) -> np.ndarray:
+        """Numbers of ``count`` containers that are full as they are."""
+        self.n += count
+        return np.arange(self.n - count, self.n)
+
+    def add(self, sizes: np.ndarray) -> np.ndarray:
+        """Container numbers of the items, in the order in which they were
+        added, that this brings to a full window; the others wait."""
+        self.waiting.append(sizes)
+        self.tokens += int(sizes.sum())
+        return self._fitted(np.concatenate(self.waiting), False) if self.tokens >= self.window else np.zeros(0, dtype=np.int64)
+
+    def rest(self) -> np.ndarray:
+        """Container numbers of all that still wait."""
+        return self._fitted(np.concatenate([np.zeros(0, dtype=np.int64), *self.waiting]), True)
+
+    def _fitted(self, sizes: np.ndarray, last: bool) -> np.ndarray:
+        upto = np.cumsum(sizes)
+        out, lo = [], 0
+        while lo < len(sizes):
+            done = int(upto[lo - 1]) if lo else 0
+            hi = int(np.searchsorted(upto, done + self.window)) + 1
+            if hi > len(sizes):
+                if not last:
+                    break
+                hi = len(sizes)
+            out.append(self._window(sizes[lo:hi]))
+            lo = hi
+        self.waiting = [sizes[lo:]]
+        self.tokens = int(sizes[lo:].sum())
+        return np.concatenate([np.zeros(0, dtype=np.int64), *out])
+
+    def _window(self, sizes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(sizes), dtype=np.int64)
+        opened, room = self.n, self.room
+        for i in np.argsort(-sizes, kind="stable").tolist():
             size = int(sizes[i])
             if size == 0:
-                n = max(n, 1)
-                out[i] = n - 1
+                self.n = max(self.n, 1)
+                out[i] = self.n - 1
                 continue
-            m = mask >> size
+            m = self.mask >> size
             if m:
                 free = (m & -m).bit_length() - 1 + size
                 at = room[free].pop()
                 if not room[free]:
-                    mask ^= 1 << free
+                    del room[free]
+                    self.mask ^= 1 << free
             else:
-                free, at = capacity, n
-                n += 1
+                free, at = self.capacity, self.n
+                self.n += 1
             out[i] = at
             left = free - size
             if left:
                 room.setdefault(left, []).append(at)
-                mask |= 1 << left
+                self.mask |= 1 << left
         for free in list(room):
-            room[free] = [c for c in room[free] if c >= closing]
+            room[free] = [c for c in room[free] if c >= self.closing]
             if not room[free]:
                 del room[free]
-                mask &= ~(1 << free)
-        closing = opened
-    return out, n
+                self.mask &= ~(1 << free)
+        self.closing = opened
+        return out
+
+
+def fit(sizes: np.ndarray, capacity: int, window: int = WINDOW) -> tuple[np.ndarray, int]:
+    """Container number of each item (none above capacity), and how many."""
+    p = Packer(capacity, window)
+    out = np.concatenate([p.add(np.asarray(sizes, dtype=np.int64)), p.rest()])
+    return out, p.n
+
+
+_PACKED = "container_kind string, container_id bigint, doc_id bigint, piece int, token_start bigint, n_tokens bigint"
+
+
+class _Kind:
+    """One kind of container along one range, and what waits for its number."""
+
+    def __init__(self, kind: str, capacity: int, base: int) -> None:
+        self.kind, self.capacity, self.base = kind, capacity, base
+        self.packer = Packer(capacity)
+        self.waiting = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("doc_id", "curve", "piece", "n_tokens")})
+
+    def _rows(self, number: np.ndarray, x: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({
+            "container_kind": self.kind, "container_id": self.base + number, "doc_id": x["doc_id"].to_numpy(), "piece": x["piece"].to_numpy().astype(np.int32),
+            "token_start": x["piece"].to_numpy() * self.capacity, "n_tokens": x["n_tokens"].to_numpy(), "curve": x["curve"].to_numpy(),
+        })
+
+    def add(self, b: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        full, rest = np.divmod(b["n_tokens"].to_numpy(), self.capacity)
+        if full.any():
+            at = np.repeat(np.arange(len(b)), full)
+            piece = np.arange(len(at)) - np.repeat(np.cumsum(full) - full, full)
+            x = pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[at], "curve": b["curve"].to_numpy()[at], "piece": piece, "n_tokens": self.capacity})
+            yield self._rows(self.packer.whole(len(at)), x)
+        has = (rest > 0) | (full == 0)
+        x = pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[has], "curve": b["curve"].to_numpy()[has], "piece": full[has], "n_tokens": rest[has]})
+        self.waiting = pd.concat([self.waiting, x], ignore_index=True)
+        yield self._out(self.packer.add(rest[has]))
+
+    def _out(self, number: np.ndarray) -> pd.DataFrame:
+        out = self._rows(number, self.waiting.iloc[: len(number)])
+        self.waiting = self.waiting.iloc[len(number) :]
+        return out
+
+    def rest(self) -> pd.DataFrame:
+        return self._out(self.packer.rest())
+
+
+def placed(docs: DataFrame, capacities: dict[str, int], vocabulary: str = VOCABULARY) -> DataFrame:
+    """``pack`` with each text's place on the ``curve``."""
+    for kind, cap in capacities.items():
+        if cap is None or cap < 1:
+            raise ValueError(f"capacity of {kind!r} must be at least 1")
+    m = materialize(measured(docs.where("doc_id IS NOT NULL"), vocabulary), "measured")
+    ranges = max(1, -(-m.count() // RANGE_TEXTS))
+    ranged = on_curve(m).repartitionByRange(ranges, "curve", "doc_id").sortWithinPartitions("curve", "doc_id")
+
+    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        base = TaskContext.get().partitionId() << 33
+        kinds = [_Kind(kind, cap, base) for kind, cap in capacities.items()]
+        for b in batches:
+            for k in kinds:
+                yield from k.add(b)
+        for k in kinds:
+            yield k.rest()
+
+    return ranged.mapInPandas(fill, _PACKED + ", curve bigint")
 
 
 def pack(docs: DataFrame, capacities: dict[str, int], vocabulary: str = VOCABULARY) -> DataFrame:
@@ -151,36 +260,25 @@ def pack(docs: DataFrame, capacities: dict[str, int], vocabulary: str = VOCABULA
     Every text is in one container of each kind; one longer than the capacity
     is cut into full containers and a rest that is packed like a text. Texts
     without tokens (NULL, empty) take no room and join a neighbour's
-    container. Repeated doc_ids are packed as often as they occur. Ties on the
-    curve are cut apart by doc_id, so copies of one text can't gather in one
-    range. An empty table needs no containers.
+    container. Repeated doc_ids are packed as often as they occur, rows without
+    one are left out. Ties on the curve are cut apart by doc_id, so copies of
+    one text can't gather in one range. An empty table needs no containers.
     """
-    for kind, cap in capacities.items():
-        if cap is None or cap < 1:
-            raise ValueError(f"capacity of {kind!r} must be at least 1")
-    placed = on_curve(materialize(measured(docs, vocabulary), "measured"))
-    ranged = placed.repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id")
+    return placed(docs, capacities, vocabulary).drop("curve")
 
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        ids = np.concatenate([b["doc_id"].to_numpy() for b in parts])
-        sizes = np.concatenate([b["n_tokens"].to_numpy() for b in parts])
-        base = TaskContext.get().partitionId() << 33
-        for kind, cap in capacities.items():
-            full, rest = np.divmod(sizes, cap)
-            has_rest = (rest > 0) | (full == 0)
-            at, n = fit(rest[has_rest], cap)
-            whole = np.repeat(np.arange(len(sizes)), full)
-            number = np.arange(len(whole)) - np.repeat(np.cumsum(full) - full, full)
-            yield pd.DataFrame({
-                "container_kind": kind,
-                "container_id": base + np.concatenate([at, n + np.arange(len(whole))]),
-                "doc_id": np.concatenate([ids[has_rest], ids[whole]]),
-                "piece": np.concatenate([full[has_rest], number]).astype(np.int32),
-                "token_start": np.concatenate([full[has_rest] * cap, number * cap]),
-                "n_tokens": np.concatenate([rest[has_rest], np.full(len(whole), cap)]),
-            })
-
-    return ranged.mapInPandas(fill, "container_kind string, container_id bigint, doc_id bigint, piece int, token_start bigint, n_tokens bigint")
+
+def report(docs: DataFrame, capacities: dict[str, int], vocabulary: str = VOCABULARY) -> DataFrame:
+    """A row a kind: containers, tokens, pieces, fullest, fill (share of the
+    room that is used), curve_span (mean stretch of the curve, as a share of
+    it, that the texts of a container with several come from) and random_span
+    (what as many texts taken at random would cover)."""
+    by = placed(docs, capacities, vocabulary).groupBy("container_kind", "container_id").agg(
+        F.sum("n_tokens").alias("used"), F.count("*").alias("k"), (F.max("curve") - F.min("curve")).alias("span")
+    )
+    several = F.col("k") > 1
+    by = by.groupBy("container_kind").agg(
+        F.count("*").alias("containers"), F.sum("used").alias("tokens"), F.sum("k").alias("pieces"), F.max("used").alias("fullest"),
+        F.avg(F.when(several, F.col("span") / float(1 << 3 * CURVE_BITS))).alias("curve_span"), F.avg(F.when(several, (F.col("k") - 1) / (F.col("k") + 1))).alias("random_span"),
+    )
+    cap = F.element_at(F.create_map(*[F.lit(x) for kv in capacities.items() for x in kv]), F.col("container_kind")) if capacities else F.lit(None).cast("int")
+    return by.withColumn("capacity_tokens", cap).withColumn("fill", F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")))

@@ -45,10 +45,7 @@ def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    caps = spark.createDataFrame(list(_capacities(spark, sf_dir).items()), "container_kind string, capacity_tokens int")
-    by = p6_containers(spark, sf_dir).groupBy("container_kind", "container_id").agg(F.sum("n_tokens").alias("used"), F.count("*").alias("pieces"))
-    by = by.groupBy("container_kind").agg(F.count("*").alias("containers"), F.sum("used").alias("tokens"), F.sum("pieces").alias("pieces"), F.max("used").alias("fullest"))
-    return by.join(caps, "container_kind").withColumn("fill", F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")))
+    return packing.report(table(spark, sf_dir, "documents"), _capacities(spark, sf_dir))
 
 
 def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -215,7 +215,7 @@ def document_shapes(docs: DataFrame) -> DataFrame:
                 rows += [(i, shape, kind, k, chars[shape, kind]) for (shape, kind), k in n.items()]
             yield pd.DataFrame(rows, columns=["doc_id", "shape", "kind", "statements", "chars"])
 
-    return docs.select("doc_id", "text").mapInPandas(reduce, "doc_id bigint, shape string, kind string, statements bigint, chars bigint")
+    return docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInPandas(reduce, "doc_id bigint, shape string, kind string, statements bigint, chars bigint")
 
 
 def stuffed_pages(docs: DataFrame) -> DataFrame:
@@ -224,7 +224,7 @@ def stuffed_pages(docs: DataFrame) -> DataFrame:
     sentences, how many such shapes there are, and how many equally large ones
     would be as concentrated (few where a page repeats itself).
 
-    NULL, empty and very short texts are no cases. Repeated doc_ids are judged
+    NULL, empty and very short texts are no cases, rows without an id neither. Repeated doc_ids are judged
     together, once. Entries of registers, tables, contents and reference lists
     count as text, but not as keywords.
     """

@@ -66,6 +66,29 @@ def test_pack(spark):
         packing.pack(df, {"x": 0})
 
 
+def test_neighbours_share_containers(spark):
+    """Texts of one subject lie together on the curve and in containers."""
+    r = random.Random(8)
+    subjects = [[f"ord{k}x{j}" for j in range(30)] for k in range(12)]
+    data = [(i, "s", " ".join(r.choices(subjects[i * 7 % 12], k=r.randrange(20, 60))), 0, "") for i in range(3000)]
+    got = packing.report(spark.createDataFrame(data, SCHEMA), {"small": 1000, "large": 8000}).collect()
+    for x in got:
+        assert x["curve_span"] < 0.5 * x["random_span"] and x["fill"] > 0.95 and x["fullest"] <= x["capacity_tokens"]
+
+
+def test_packer_keeps_a_window(spark):
+    p = packing.Packer(100, 4)
+    sizes = np.array([random.Random(i).randrange(0, 101) for i in range(5000)])
+    at = []
+    for lo in range(0, 5000, 37):
+        at.append(p.add(sizes[lo : lo + 37]))
+        assert p.tokens < 400 and sum(map(len, p.room.values())) <= 40
+    at = np.concatenate([*at, p.rest()])
+    used = np.bincount(at, weights=sizes, minlength=p.n)
+    assert len(at) == 5000 and used.max() <= 100
+    assert (at == packing.fit(sizes, 100, 4)[0]).all()
+
+
 def test_copies_of_one_text_spread(spark):
     df = spark.createDataFrame([(i, "s", "samma text", 0, "") for i in range(2000)], SCHEMA).repartition(4)
     got = packing.pack(df, {"k": 50})
