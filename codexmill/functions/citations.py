@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -22,6 +23,22 @@ EXT = BASE.rsplit("/", 1)[0] + "/ext"
 # Swedish ordinals in references to paragraphs.
 ORDINALS = {w: str(i) for i, w in enumerate("första andra tredje fjärde femte sjätte sjunde åttonde nionde tionde".split(), 1)}
 
+# Short titles of acts, and the acts' numbers.
+_SHORT = """
+    BB=1736:0123_1 HB=1736:0123_2 SO=1810:0926 LkL=1845:50_s._1 IÄL=1904:26_1 AvtL=1915:218 GB=1920:405 SkbrL=1936:81 GåvoL=1936:83 RB=1942:740
+    LsL=1946:808 TF=1949:105 FB=1949:381 Upplåtelser=1957:259 ÄB=1958:637 VML=1960:644 URL=1960:729 BrB=1962:700 BrP=1964:163 FL=1967:868 NSL=1968:64
+    FRL=1970:979 FBL=1970:988 JB=1970:994 JP=1970:995 AFDL=1971:289 FPL=1971:291 BehL=1971:309 FfL=1971:494 SBL=1971:69 LIA=1971:796 VägL=1971:948
+    SkL=1972:207 ExL=1972:719 AL=1973:1149 SFL=1973:1150 RF=1974:152 RO=1974:153 MBL=1976:580 HFL=1978:304 FTL=1979:1152 SekrL=1980:100 SekrF=1980:657
+    UB=1981:774 UF=1981:981 HSL=1982:763 LAS=1982:80 PL=1984:387 VitesL=1985:206 KTjL=1985:716 FL=1986:223 PBL=1987:10 ESL=1987:11 ÄktB=1987:230
+    KL=1987:672 CISG=1987:822 LVM=1988:870 TaxL=1990:324 LVU=1990:52 LBH=1990:746 ArkivL=1990:782 KöpL=1990:931 KKöpL=1990:932 LPT=1991:1128 LRV=1991:1129
+    YGL=1991:1469 SINK=1991:586 BRL=1991:641 KL=1991:900 KML=1992:1685 Avgift=1992:191 KKrL=1992:830 OL=1993:1617 LSS=1993:387 SjöL=1994:1009
+    IURF=1994:193 ML=1994:200 LOA=1994:260 PbrL=1994:448 BVL=1994:847 VerksF=1995:1322 LIF=1997:192 EL=1997:857 PUL=1998:204 KörkL=1998:488 LIP=1998:674
+    MB=1998:808 IL=1999:1229 SAL=2000:980 LSK=2001:1227 SoL=2001:453 Tillhandahållande=2003:234 LEK=2003:389 LSO=2003:778 SmittskL=2004:168 FAL=2005:104
+    ABL=2005:551 UtlL=2005:716 RättsprL=2006:304 MFL=2008:486 OSL=2009:400
+""".split()
+#: A title that two acts share is the older one's.
+SHORT_TITLES = {title: number for title, _, number in reversed([x.partition("=") for x in _SHORT])}
+
 #: Patterns that mean the same in Java, RE2 and Python.
 CASE = r"\b(AD|MD|RH|RÅ|HFD|NJA) ([0-9]{4})(?::| nr | ref\. | s\. )([0-9]+)"
 BILL = r"\b[Pp]rop\. ([0-9]{4}(?:/[0-9]{2,4})?:[0-9]+)"
@@ -76,23 +93,29 @@ def eu_cases(text: Column, ext: str = EXT) -> Column:
 
 _NR = r"\d+(?:\s?[a-z]\b)?"
 _ACT_TITLE = r"(?:\w+\s)?\w*(?:lagen|förordningen|balken|lag|förordning|balk)"
-_TOKEN = re.compile(
-    rf"""
+_TOKEN = rf"""
     (?P<case>\b(?P<court>AD|MD|RH|RÅ|HFD|NJA)\s(?P<cy>\d{{4}})(?::|\snr\s|\sref\.\s|\ss\.\s)(?P<cn>\d+))
   | (?P<prop>\b[Pp]rop\.\s(?P<pn>\d{{4}}(?:/\d{{2,4}})?:\d+))
   | (?P<bet>\b[Bb]et\.\s(?P<bn>\d{{4}}/\d{{2,4}}:[A-Za-z]+\d+))
   | (?P<rskr>\b[Rr]skr\.\s(?P<rn>\d{{4}}/\d{{2,4}}:\d+))
   | (?P<celex>\b3\d{{2}}(?:\d{{2}})?[A-Z]\d{{4}}\b)
   | (?P<ecj>\b(?:Case\s)?(?P<et>[CTF])[-‑](?P<es>\d+)/(?P<ey>\d{{2}})\b)
-  | (?P<short>\b(?P<ab>[A-ZÅÄÖ]{{1,4}}[a-zåäö]?)\s(?P<sk>\d+):(?P<sp>\d+(?:\s?[a-z]\b)?)(?:\s(?P<ss>\d+)\sst\.)?)
+  | (?P<short>\b(?P<ab>@)\s(?P<sk>\d+):(?P<sp>\d+(?:\s?[a-z]\b)?)(?:\s(?P<ss>\d+)\sst\.)?)
   | (?P<prov>(?:(?P<k>{_NR})\skap\.\s)?(?P<p>{_NR})\s§(?:\s(?P<so>{"|".join(ORDINALS)})\sstycket(?:\s(?P<sn>{_NR}))?)?
       (?:\s(?:(?P<same>samma\s(?:lag|förordning|balk))|(?P<title>{_ACT_TITLE})\s\((?P<law>\d{{4}}:\d+)\)))?)
   | (?P<piece>\b(?P<o>{"|".join(ORDINALS)})\sstycket(?:\s(?P<n>{_NR}))?)
   | (?P<named>\b{_ACT_TITLE}\s\((?P<nl>\d{{4}}:\d+)\))
   | (?P<naked>(?<![\d:/])\d{{4}}:\d+(?!\d))
-    """,
-    re.VERBOSE,
-)
+    """
+
+
+@lru_cache
+def _token(titles: tuple[str, ...]) -> re.Pattern:
+    """The rules, with the short titles that are known, the longest first."""
+    known = "|".join(map(re.escape, sorted(titles, key=lambda x: (-len(x), x)))) or "(?!)"
+    return re.compile(_TOKEN.replace("@", known), re.VERBOSE)
+
+
 _MORE = re.compile(rf"(?P<sep>,\s|\seller\s|\soch\s|\ssamt\s)(?P<n>{_NR})(?!\s?(?:§|kap\b|:|\d))")
 
 
@@ -115,7 +138,8 @@ def runs(text: str | None, home: str = "9999:999", aliases: dict[str, str] | Non
             out.append((text[at:upto], None))
 
     pos = 0
-    while m := _TOKEN.search(text, pos):
+    token = _token(tuple(sorted(aliases or ())))
+    while m := token.search(text, pos):
         g = m.groupdict()
         pos = max(m.end(), m.start() + 1)
         prefix = None
@@ -132,9 +156,7 @@ def runs(text: str | None, home: str = "9999:999", aliases: dict[str, str] | Non
         elif g["ecj"]:
             uri = f"{ext}/ecj/{g['et']}-{g['es']}/{g['ey']}"
         elif g["short"]:
-            law = (aliases or {}).get(g["ab"])
-            if law is None:
-                continue
+            law = (aliases or {})[g["ab"]]
             uri = f"{sfs}{law}#K{g['sk']}P{_nr(g['sp'])}" + (f"S{g['ss']}" if g["ss"] else "")
         elif g["prov"]:
             if g["law"]:

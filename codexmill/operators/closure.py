@@ -78,13 +78,14 @@ def all_pairs(edges: DataFrame) -> DataFrame:
 
 
 def closure_sql(spark: SparkSession, edges: DataFrame, root: str, depth: int = 100) -> DataFrame:
-    """(node): the path ``*`` of one root as a recursive query, for acyclic
-    containment no deeper than ``depth``. The root is a query parameter."""
+    """(node): the path ``*`` of one root as a recursive query, no deeper than
+    ``depth``. The root is a query parameter; a way that comes back to where it
+    has been ends there, so cycles do."""
     edges.select("child", "parent").where("child IS NOT NULL AND parent IS NOT NULL").distinct().createOrReplaceTempView("codexmill_edges")
     return spark.sql(
-        f"""WITH RECURSIVE below(node, d) MAX RECURSION LEVEL {int(depth)} AS (
-              SELECT CAST(:root AS STRING), 0
-              UNION ALL SELECT e.child, b.d + 1 FROM below b JOIN codexmill_edges e ON e.parent = b.node)
+        f"""WITH RECURSIVE below(node, way) MAX RECURSION LEVEL {int(depth)} AS (
+              SELECT CAST(:root AS STRING), array(CAST(:root AS STRING))
+              UNION ALL SELECT e.child, array_append(b.way, e.child) FROM below b JOIN codexmill_edges e ON e.parent = b.node WHERE NOT array_contains(b.way, e.child))
             SELECT DISTINCT node FROM below""",
         args={"root": root},
     )

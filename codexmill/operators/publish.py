@@ -33,6 +33,26 @@ def statute_pages(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("doc").agg(rows.alias("r")).select("doc", F.array_join(F.transform("r", lambda x: x["html"]), "\n").alias("html"))
 
 
+def document_page(kind: str, uri: Column, title: Column, meta: dict[str, Column], body: Column) -> Column:
+    """A page of one document other than a statute: its type, title, what is
+    known about it (properties without a value do not show) and its paragraphs,
+    an ARRAY<STRING>."""
+    known = F.concat(*[F.coalesce(F.concat(F.lit(f'<dt property="{p}">{p}</dt><dd>'), escaped(v), F.lit("</dd>")), F.lit("")) for p, v in meta.items()])
+    text = F.array_join(F.transform(F.coalesce(body, F.array().cast("array<string>")), lambda x: F.concat(F.lit("<p>"), escaped(x), F.lit("</p>"))), "")
+    return F.concat(
+        F.lit('<html about="'), escaped(F.coalesce(uri, F.lit(""))), F.lit('"><head><title>'), escaped(F.coalesce(title, F.lit(""))),
+        F.lit(f'</title></head><body typeof="{kind}"><dl>'), known, F.lit('</dl><div role="main">'), text, F.lit("</div></body></html>"),
+    )
+
+
+def keyword_pages(entries: DataFrame) -> DataFrame:
+    """(page, keyword, rank, title, uri): index pages with a level of keywords,
+    by first letter, entries of a keyword in order of title."""
+    page = F.upper(F.left("keyword", F.lit(1)))
+    rank = F.row_number().over(Window.partitionBy("keyword").orderBy("title", "uri"))
+    return entries.select(page.alias("page"), "keyword", rank.alias("rank"), "title", "uri")
+
+
 def without_roles(nodes: DataFrame, role: str, dropped: tuple[str, ...] = ("contentinfo", "navigation", "note")) -> DataFrame:
     return nodes.where(~F.coalesce(F.col(role), F.lit("")).isin(*dropped))
 

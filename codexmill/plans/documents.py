@@ -251,9 +251,8 @@ def celex_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 def citation_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All links in provisions' texts with enumerations, short titles and "the
     same act" resolved; relative references belong to the provision's act."""
-    aliases = {"JB": "1970:994", "RB": "1942:740"}
     n = table(spark, sf_dir, "nodes").where("text IS NOT NULL").select("doc", "node_id", "sfsnr", "text").distinct()
-    runs = n.select("doc", "node_id", F.posexplode(C.linked(aliases)("text", "sfsnr")).alias("pos", "run"))
+    runs = n.select("doc", "node_id", F.posexplode(C.linked(C.SHORT_TITLES)("text", "sfsnr")).alias("pos", "run"))
     return runs.where("run.uri IS NOT NULL").select("doc", "node_id", "pos", "run.text", "run.uri")
 
 

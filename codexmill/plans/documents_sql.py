@@ -43,6 +43,16 @@ THEN length(left(description, {n})) - strpos(reverse(left(description, {n})), '
 
 
 _NR = r"regexp_extract(basefile, '([0-9]{4})\s*[:/]\s*([0-9]+)', 1) || ':' || regexp_replace(regexp_extract(basefile, '([0-9]{4})\s*[:/]\s*([0-9]+)', 2), '^0+([0-9])', '\1')"
+
+
+def nr_sql() -> str:
+    return _NR
+
+
+def slug_sql(c: str) -> str:
+    return _slug(c)
+
+
 _NUMBERED = rf"SELECT *, {_NR} AS nr FROM direktiv_records WHERE regexp_matches(basefile, '([0-9]{{4}})\s*[:/]\s*([0-9]+)')"
 _C = r"\b(AD|MD|RH|RÅ|HFD|NJA) ([0-9]{4})(?::| nr | ref\. | s\. )([0-9]+)"
 _PROP = r"\b[Pp]rop\. ([0-9]{4}(?:/[0-9]{2,4})?:[0-9]+)"

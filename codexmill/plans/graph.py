@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexmill import model as M
+from codexmill.functions.citations import DEFINITIONS, definitions
 from codexmill.operators.closure import above, closure, hops
 from codexmill.session import table
 
@@ -147,16 +148,23 @@ def constructed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select(F.col("lagrum").alias("s"), F.lit("rinfo:isLagrumFor").alias("p"), F.col("case").alias("o")).distinct()
 
 
+#: What a page says about each of its nodes, by predicate.
+ANNOTATIONS = {"cases": M.LAGRUM_P, "inbound": M.REFERENCES, "comment": M.DESCRIPTION, "introduced": M.CHANGES[1], "changed": M.CHANGES[0], "repealed": M.CHANGES[2]}
+
+
 def annotation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every node with what the graph says about it: cases, inbound references
-    and descriptions, collected before the join, NULL-free counts after it."""
+    """Every node with what the graph says about it, one relation at a time:
+    cases, inbound references and the acts that introduced, changed or repealed
+    it point at the node, comments are its own. All relations are collected by
+    node in one pass before the join; counts are NULL-free after it."""
     t = M.graph(spark, sf_dir)
     nodes = table(spark, sf_dir, "nodes").select(M.node_uri(F.col("doc"), F.col("node_id")).alias("uri"), "node_type").distinct()
-    out = nodes
-    for name, p in (("cases", M.LAGRUM_P), ("inbound", M.REFERENCES)):
-        a = M.pattern(t, p, "from", "uri").groupBy("uri").agg(F.count("*").alias(f"n_{name}"), F.min("from").alias(f"first_{name}"), F.max("from").alias(f"last_{name}"))
-        out = out.join(a, "uri", "left").withColumn(f"n_{name}", F.coalesce(f"n_{name}", F.lit(0).cast("bigint")))
-    return out
+    own = F.col("p") == M.DESCRIPTION
+    a = t.where(F.col("p").isin(*ANNOTATIONS.values())).select("p", F.when(own, F.col("s")).otherwise(F.col("o")).alias("uri"), F.when(own, F.col("o")).otherwise(F.col("s")).alias("from")).distinct()
+    of = {k: F.when(F.col("p") == p, F.col("from")) for k, p in ANNOTATIONS.items()}
+    a = a.groupBy("uri").agg(*[x for k, c in of.items() for x in (F.count(c).alias(f"n_{k}"), F.min(c).alias(f"first_{k}"), F.max(c).alias(f"last_{k}"))])
+    out = nodes.join(a, "uri", "left")
+    return out.select("uri", "node_type", *[x for k in ANNOTATIONS for x in (F.coalesce(f"n_{k}", F.lit(0)).cast("bigint").alias(f"n_{k}"), f"first_{k}", f"last_{k}")])
 
 
 def counts_per_node(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +190,7 @@ def concept_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.size(F.filter(F.split("text", "[ \r\n\t]+"), lambda x: x != ""))
     w = pages.groupBy("concept").agg(F.sum(words).alias("words"), F.count("*").alias("wikipedia"))
     cases = M.pattern(M.statements(spark, sf_dir), M.SUBJECT, "s", "o").groupBy(F.lower("o").alias("concept")).agg(F.count("*").alias("cases"))
-    defs = table(spark, sf_dir, "documents").where("source = 'sfs'").select(F.explode(F.regexp_extract_all("text", F.lit(r"Med ([^ ]+) avses"), F.lit(1))).alias("c"))
+    defs = table(spark, sf_dir, "documents").select(F.explode(definitions(F.col("text"))).alias("c"))
     d = defs.groupBy(F.lower("c").alias("concept")).agg(F.count("*").alias("definitions"))
     out = w.join(cases, "concept", "full").join(d, "concept", "full")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
@@ -247,10 +255,10 @@ ORACLE = {
     "prefix_slice": _T + "SELECT split_part(s, '#', 1) AS slice, g, s, p, o FROM stated WHERE starts_with(s, 'http://rinfo.example/publ/sfs/')",
     "first_value": _T + "SELECT s, p, min(o) AS o, count(*) AS n_values FROM stated GROUP BY s, p",
     "constructed": "SELECT DISTINCT o AS s, 'rinfo:isLagrumFor' AS p, s AS o FROM triples WHERE p = 'rinfo:lagrum' AND s IS NOT NULL AND o IS NOT NULL",
-    "annotation_join": _T + """, c AS (SELECT o AS uri, count(*) AS n, min(s) AS a, max(s) AS b FROM (SELECT DISTINCT s, o FROM t WHERE p = 'rinfo:lagrum') GROUP BY o),
-i AS (SELECT o AS uri, count(*) AS n, min(s) AS a, max(s) AS b FROM (SELECT DISTINCT s, o FROM t WHERE p = 'dct:references') GROUP BY o)
-SELECT n.uri, n.node_type, coalesce(c.n, 0) AS n_cases, c.a AS first_cases, c.b AS last_cases, coalesce(i.n, 0) AS n_inbound, i.a AS first_inbound, i.b AS last_inbound
-FROM (SELECT DISTINCT uri, node_type FROM node) n LEFT JOIN c USING (uri) LEFT JOIN i USING (uri)""",
+    "annotation_join": _T + ", a AS (SELECT DISTINCT p, CASE WHEN p = 'dct:description' THEN s ELSE o END AS uri, CASE WHEN p = 'dct:description' THEN o ELSE s END AS x FROM t), g AS (SELECT uri, "
+    + ", ".join(f"count(x) FILTER (p = '{p}') AS n_{k}, min(x) FILTER (p = '{p}') AS first_{k}, max(x) FILTER (p = '{p}') AS last_{k}" for k, p in ANNOTATIONS.items())
+    + " FROM a GROUP BY uri) SELECT n.uri, n.node_type, " + ", ".join(f"coalesce(n_{k}, 0) AS n_{k}, first_{k}, last_{k}" for k in ANNOTATIONS)
+    + " FROM (SELECT DISTINCT uri, node_type FROM node) n LEFT JOIN g USING (uri)",
     "counts_per_node": _T + """SELECT uri, count(*) FILTER (what = 1) AS n_cases, count(*) FILTER (what = 2) AS n_inbound, count(*) FILTER (what = 3) AS n_changes FROM (
 SELECT DISTINCT s, p, o AS uri, CASE p WHEN 'rinfo:lagrum' THEN 1 WHEN 'dct:references' THEN 2 ELSE 3 END AS what FROM t
 WHERE p IN ('rinfo:lagrum', 'dct:references', 'rinfo:ersatter', 'rinfo:inforsI', 'rinfo:upphaver')) GROUP BY uri""",
@@ -259,8 +267,10 @@ WHERE p IN ('rinfo:lagrum', 'dct:references', 'rinfo:ersatter', 'rinfo:inforsI',
 WITH pages AS (SELECT lower(regexp_extract(text, '^''''''([^'']+)''''''', 1)) AS concept, text FROM documents WHERE source = 'wiki'),
 w AS (SELECT concept, sum(len(list_filter(string_split_regex(text, '[ \r\n\t]+'), lambda x: x <> ''))) AS words, count(*) AS wikipedia FROM pages WHERE concept <> '' GROUP BY concept),
 c AS (SELECT lower(o) AS concept, count(*) AS cases FROM (SELECT DISTINCT s, o FROM triples WHERE p = 'dct:subject' AND s IS NOT NULL AND o IS NOT NULL) GROUP BY 1),
-d AS (SELECT lower(x) AS concept, count(*) AS definitions FROM (SELECT unnest(regexp_extract_all(text, 'Med ([^ ]+) avses', 1)) AS x FROM documents WHERE source = 'sfs') GROUP BY 1)
+d AS (SELECT lower(x) AS concept, count(*) AS definitions FROM (SELECT unnest(list_concat(@DEFS@)) AS x FROM documents) GROUP BY 1)
 SELECT concept, CAST(coalesce(words, 0) AS BIGINT) AS words, coalesce(cases, 0) AS cases, coalesce(definitions, 0) AS definitions, coalesce(wikipedia, 0) AS wikipedia,
   CAST(coalesce(words, 0) + coalesce(cases, 0) + 5 * coalesce(definitions, 0) + 5 * coalesce(wikipedia, 0) AS BIGINT) AS score
-FROM w FULL JOIN c USING (concept) FULL JOIN d USING (concept)""",
+FROM w FULL JOIN c USING (concept) FULL JOIN d USING (concept)""".replace("@DEFS@", ", ".join(f"regexp_extract_all(text, '{x}', 1)" for x in DEFINITIONS)),
 }
+
+T_SQL = _T

@@ -24,6 +24,29 @@ def statute_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.statute_pages(n).select("doc", F.md5("html").alias("digest"), F.length("html").alias("n_chars"))
 
 
+def case_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "dv_cases").select("case_id", "uri", "identifier", "court", "malnummer", "avgorandedatum", "description").distinct()
+    meta = {"dct:publisher": F.col("court"), "rinfo:malnummer": F.col("malnummer"), "rinfo:avgorandedatum": F.date_format("avgorandedatum", "yyyy-MM-dd")}
+    html = publish.document_page("rinfo:Rattsfallsreferat", F.col("uri"), F.col("identifier"), meta, X.chunks(F.col("description"), X.PARAGRAPH))
+    return c.select("case_id", F.md5(html).alias("digest"), F.length(html).alias("n_chars"))
+
+
+def regulation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of the general form."""
+    r = table(spark, sf_dir, "skvfs_regulations").select("reg_id", "basefile", "title", "body").distinct()
+    uri = F.concat(F.lit(M.BASE + "/skvfs/"), "basefile")
+    html = publish.document_page("rinfo:Myndighetsforeskrift", uri, F.coalesce("title", "basefile"), {"dct:identifier": F.col("basefile")}, X.chunks(F.col("body"), X.PARAGRAPH))
+    return r.select("reg_id", F.md5(html).alias("digest"), F.length(html).alias("n_chars"))
+
+
+def keyword_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases by keyword."""
+    t = M.statements(spark, sf_dir)
+    names = M.pattern(t, M.IDENTIFIER, "uri", "o").groupBy("uri").agg(F.min("o").alias("title"))
+    e = M.pattern(t, M.SUBJECT, "uri", "keyword").join(names, "uri", "left").select("keyword", F.coalesce("title", "uri").alias("title"), "uri")
+    return publish.keyword_pages(e)
+
+
 def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "sfs_snapshots").where("title IS NOT NULL AND uri IS NOT NULL").groupBy("uri").agg(F.min("title").alias("title"))
     e = s.select(F.regexp_extract("uri", "/([0-9]{4}):", 1).alias("category"), F.lit("all").alias("page"), F.lower("title").alias("sortkey"), "title", "uri")
@@ -47,13 +70,6 @@ def lines_in_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.exploded(p, "part", X.LINE, "line", "chunk")
 
 
-def authority_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Acts by the organisation that issued them, looked up by its label."""
-    s = table(spark, sf_dir, "sfs_snapshots").where("creator IS NOT NULL AND uri IS NOT NULL").select("uri", "creator").distinct()
-    orgs = s.select("creator").distinct().withColumn("org_uri", F.concat(F.lit(M.BASE.rsplit("/", 1)[0] + "/org/"), X.slug(F.col("creator"))))
-    return s.join(orgs, "creator").groupBy("org_uri", "creator").agg(F.countDistinct("uri").alias("acts"))
-
-
 def landing_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Years from the first to the last directive, with how many there are: a
     crawl by year would ask for all of them."""
@@ -64,7 +80,7 @@ def landing_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return years.join(r, "year", "left").groupBy("year").agg(F.count("record_id").alias("n"))
 
 
-_QUERIES = (metadata_rendered, statute_pages, index_pages, feed_entries, layout_tables, lines_in_paragraphs, authority_join, landing_years)
+_QUERIES = (metadata_rendered, statute_pages, case_pages, regulation_pages, keyword_pages, index_pages, feed_entries, layout_tables, lines_in_paragraphs, landing_years)
 QUERIES = {f.__name__: f for f in _QUERIES}
 
 
@@ -72,10 +88,12 @@ def _esc(c: str) -> str:
     return f"""replace(replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')"""
 
 
-def _slug_sql(c: str) -> str:
-    from codexmill.plans.documents_sql import _slug
-
-    return _slug(c)
+def _page_sql(kind: str, uri: str, title: str, meta: dict[str, str], body: str) -> str:
+    known = " || ".join(f"""coalesce('<dt property="{p}">{p}</dt><dd>' || {_esc(v)} || '</dd>', '')""" for p, v in meta.items())
+    parts = f"string_split({body}, chr(10) || chr(10))"
+    kept = f"CASE WHEN {parts}[-1] = '' THEN {parts}[1:len({parts}) - 1] ELSE {parts} END"
+    text = f"coalesce(array_to_string(list_transform({kept}, lambda x: '<p>' || {_esc('x')} || '</p>'), ''), '')"
+    return f"""'<html about="' || {_esc(f"coalesce({uri}, '')")} || '"><head><title>' || {_esc(f"coalesce({title}, '')")} || '</title></head><body typeof="{kind}"><dl>' || {known} || '</dl><div role="main">' || {text} || '</div></body></html>'"""
 
 
 _LINES = """WITH a AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
@@ -83,6 +101,13 @@ b AS (SELECT doc_id, CASE WHEN parts[-1] = '' THEN parts[1:len(parts) - 1] ELSE
 l AS (SELECT doc_id, CAST(unnest(range(len(parts))) AS INT) AS pos, unnest(parts) AS chunk FROM b)"""
 
 ORACLE = {
+    "case_pages": "WITH p AS (SELECT case_id, " + _page_sql("rinfo:Rattsfallsreferat", "uri", "identifier", {"dct:publisher": "court", "rinfo:malnummer": "malnummer", "rinfo:avgorandedatum": "strftime(avgorandedatum, '%Y-%m-%d')"}, "description")
+    + " AS html FROM (SELECT DISTINCT case_id, uri, identifier, court, malnummer, avgorandedatum, description FROM dv_cases)) SELECT case_id, md5(html) AS digest, CAST(length(html) AS INT) AS n_chars FROM p",
+    "regulation_pages": "WITH p AS (SELECT reg_id, " + _page_sql("rinfo:Myndighetsforeskrift", "'http://rinfo.example/publ/skvfs/' || basefile", "coalesce(title, basefile)", {"dct:identifier": "basefile"}, "body")
+    + " AS html FROM (SELECT DISTINCT reg_id, basefile, title, body FROM skvfs_regulations)) SELECT reg_id, md5(html) AS digest, CAST(length(html) AS INT) AS n_chars FROM p",
+    "keyword_pages": """WITH st AS (SELECT DISTINCT s, p, o FROM triples WHERE s IS NOT NULL AND o IS NOT NULL), n AS (SELECT s, min(o) AS title FROM st WHERE p = 'dct:identifier' GROUP BY s),
+e AS (SELECT k.o AS keyword, coalesce(n.title, k.s) AS title, k.s AS uri FROM st k LEFT JOIN n USING (s) WHERE k.p = 'dct:subject')
+SELECT upper(left(keyword, 1)) AS page, keyword, CAST(row_number() OVER (PARTITION BY keyword ORDER BY title, uri) AS INT) AS rank, title, uri FROM e""",
     "metadata_rendered": f"""WITH st AS (SELECT DISTINCT g, s, p, o, o_kind, o_datatype, o_lang FROM triples WHERE s IS NOT NULL AND o IS NOT NULL),
 n AS (SELECT s, min(o) AS name FROM st WHERE p = 'dct:identifier' GROUP BY s)
 SELECT g, st.s, p, CASE WHEN o_kind = 'uri' THEN '<a href="' || {_esc('o')} || '">' || {_esc('coalesce(name, o)')} || '</a>' WHEN o_datatype IS NOT NULL THEN '<span datatype="' || o_datatype || '">' || {_esc('o')} || '</span>'
@@ -101,7 +126,6 @@ b AS (SELECT doc_id, CASE WHEN parts[-1] = '' THEN parts[1:len(parts) - 1] ELSE
 c AS (SELECT doc_id, CAST(unnest(range(len(parts))) AS INT) AS paragraph, string_split(unnest(parts), chr(10)) AS parts FROM b),
 d AS (SELECT doc_id, paragraph, CASE WHEN parts[-1] = '' THEN parts[1:len(parts) - 1] ELSE parts END AS parts FROM c)
 SELECT doc_id, paragraph, CAST(unnest(range(len(parts))) AS INT) AS line, unnest(parts) AS chunk FROM d""",
-    "authority_join": f"SELECT 'http://rinfo.example/org/' || {_slug_sql('creator')} AS org_uri, creator, count(DISTINCT uri) AS acts FROM sfs_snapshots WHERE creator IS NOT NULL AND uri IS NOT NULL GROUP BY creator",
     "landing_years": r"""WITH r AS (SELECT CAST(regexp_extract(basefile, '([0-9]{4})\s*[:/]\s*([0-9]+)', 1) AS INT) AS year FROM direktiv_records WHERE regexp_matches(basefile, '([0-9]{4})\s*[:/]\s*([0-9]+)')),
 y AS (SELECT CAST(unnest(range(min(year), max(year) + 1)) AS INT) AS year FROM r) SELECT y.year, count(r.year) AS n FROM y LEFT JOIN r ON r.year = y.year GROUP BY y.year""",
 }

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from types import ModuleType
 
-from codexmill.plans import documents, general, graph, publishing
+from codexmill.plans import documents, general, graph, ingest, publishing
 
 
 def modules() -> list[ModuleType]:
-    return [general, graph, documents, publishing]
+    return [general, graph, documents, publishing, ingest]

@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexmill.model import PREFIXES, TRIPLES
+from codexmill.functions.citations import SHORT_TITLES
+from codexmill.model import BASE, PREFIXES, TRIPLES
 
 
 def text_files(spark: SparkSession, path: str, encoding: str = "iso-8859-1") -> DataFrame:
@@ -115,6 +116,11 @@ def turtle_lines(lines: DataFrame, g: str) -> DataFrame:
     )
 
 
+def short_titles(spark: SparkSession) -> DataFrame:
+    """Triples of the dictionary of short titles of acts."""
+    return spark.createDataFrame([("dictionary", f"{BASE}/sfs/{n}", "dct:alternate", t) for t, n in SHORT_TITLES.items()], "g string, s string, p string, o string")
+
+
 def n_triples(lines: DataFrame, g: str) -> tuple[DataFrame, DataFrame]:
     """(triples, rejected lines) of (value) in N-Triples."""
     pattern = r'^(<[^>]*>|_:\S+)\s+<([^>]*)>\s+(<[^>]*>|_:\S+|"(?:[^"\\]|\\.)*"(?:@[\w-]+|\^\^<[^>]*>)?)\s*\.\s*$'

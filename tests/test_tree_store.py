@@ -16,15 +16,40 @@ def test_structure(spark):
     df = spark.createDataFrame([(1, STATUTE), (2, ""), (3, None)], "id int, text string")
     got = [(r["node_type"], r["node_id"], r["parent_id"]) for r in tree.structure(df, "id", "text").orderBy("seq").collect()]
     assert got == [
-        ("Avdelning", "AI", None), ("Kapitel", "K1", None), ("Paragraf", "K1P1", "K1"), ("Stycke", "K1P1S2", "K1P1"), ("Numrerad", "K1P1S2N1", "K1P1S2"),
-        ("Bokstav", "K1P1S2N1Na", "K1P1S2N1"), ("Numrerad", "K1P1S2N2", "K1P1S2"), ("Paragraf", "K1P2", "K1"), ("Kapitel", "K2", None), ("Paragraf", "K2P1", "K2"),
-        ("Paragraf", "K2P2a", "K2"), ("Streck", "K2P2aS1N1", "K2P2aS1"), ("Bilaga", "B1", None), ("Stycke", "B1S1", "B1"),
+        ("Avdelning", "A1", None), ("Kapitel", "K1", None), ("Paragraf", "K1P1", "K1"), ("Stycke", "K1P1S1", "K1P1"), ("Stycke", "K1P1S2", "K1P1"), ("Numrerad", "K1P1S2N1", "K1P1S2"),
+        ("Bokstav", "K1P1S2N1Na", "K1P1S2N1"), ("Numrerad", "K1P1S2N2", "K1P1S2"), ("Paragraf", "K1P2", "K1"), ("Stycke", "K1P2S1", "K1P2"), ("Kapitel", "K2", None), ("Paragraf", "K2P1", "K2"),
+        ("Stycke", "K2P1S1", "K2P1"), ("Paragraf", "K2P2a", "K2"), ("Stycke", "K2P2aS1", "K2P2a"), ("Streck", "K2P2aS1N1", "K2P2aS1"), ("Bilaga", "B1", None), ("Stycke", "B1S1", "B1"),
     ]
 
 
-def test_running_numbers_leave_the_chapter_out(spark):
-    df = spark.createDataFrame([(1, "1 kap. Om a\n1 § A.\n2 kap. Om b\n2 § B.")], "id int, text string")
-    assert [r["node_id"] for r in tree.structure(df, "id", "text").orderBy("seq").collect()] == ["K1", "P1", "K2", "P2"]
+# Texts and the ids of their nodes in order: one case for each rule.
+STRUCTURES = [
+    ("Ensamt stycke.", "S1"),
+    ("1 § Första.\n2 a § Andra.\nMer.", "P1 P1S1 P2a P2aS1 P2aS2"),
+    ("1 Kap. Första\n1 § A.\n2 Kap. Andra\n1 § B.", "K1 K1P1 K1P1S1 K2 K2P1 K2P1S1"),
+    ("1 kap. Första\nEn rubrik\n1 § A.\n2 § B.\n2 kap. Andra\nNy rubrik\n3 § C.", "K1 R1 P1 P1S1 P2 P2S1 K2 R2 P3 P3S1"),
+    ("1 kap. Första\nEn rubrik\n1 § A.\n2 kap. Andra\nNy rubrik\n1 § C.", "K1 K1R1 K1P1 K1P1S1 K2 K2R1 K2P1 K2P1S1"),
+    ("FÖRSTA AVDELNINGEN\nÖVERGRIPANDE\n1 kap. A\n1 § B.\nANDRA AVDELNINGEN\nANNAT\n2 kap. C\n1 § D.", "A1 K1 K1P1 K1P1S1 A2 K2 K2P1 K2P1S1"),
+    ("AVD. II KAPITALVINSTER\nText.", "A2 S1"),
+    ("1. Ett\n- streck\n- mer\n2. Två\na) först\nb) sedan\n- under b\n- mer under b\n3. Tre\n- nytt", "N1 N1N1 N1N2 N2 N2Na N2Nb N2NbN1 N2NbN2 N3 N3N1"),
+    ("2 § Detta gäller\n4. fyra\n4 a. mer\n4 b. än mer\n- ett\n- två", "P2 P2S1 P2S1N4 P2S1N4a P2S1N4b P2S1N4bN1 P2S1N4bN2"),
+    ("1 § I lagen finns\n- ett,\n- två\nTill lagen hör bilagor\n- tre", "P1 P1S1 P1S1N1 P1S1N2 P1S2 P1S2N1"),
+    ("2 § Följande gäller också\n7-7 c §§ om bisysslor,\n38 § om uppsägning,\n42 §, dock inte", "P2 P2S1 P2S2 P2S3 P2S4"),
+    ("Se vidare\n1 kap. 5 § andra stycket", "R1 S1"),
+    ("19 kap.\n2 § har upphävts genom lag (1982:989).\n21 kap. har upphävts genom lag (1988:1556).", "K19"),
+    ("1 § En lag\nÖvergångsbestämmelser\n1234:567\n1. En punkt.\n2. Två.\n1234:568\nEtt stycke.", "P1 P1S1 L1234:567 L1234:567N1 L1234:567N2 L1234:568 L1234:568S1"),
+    ("[Övergångsbestämmelser]\n2001:976\nText.\nBilaga\nMer.\nBilaga\nÄn mer.", "L2001:976 L2001:976S1 B1 B1S1 B2 B2S1"),
+    ("Övergångsbestämmelser\n12 § Text.", "R1 P12 P12S1"),
+    ("4 kap. Krav\n" + "En rubrik som är så lång att den annars vore ett stycke, " * 2 + "dock inte\n1 § Text.", "K4 K4R1 K4P1 K4P1S1"),
+]
+
+
+def test_structures(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(STRUCTURES)], "id int, text string")
+    got = {i: [] for i in range(len(STRUCTURES))}
+    for r in tree.structure(df, "id", "text").where("node_id IS NOT NULL").orderBy("doc", "seq").collect():
+        got[r["doc"]].append(r["node_id"])
+    assert {i: " ".join(x) for i, x in got.items()} == {i: x for i, (_, x) in enumerate(STRUCTURES)}
 
 
 def test_heading_numbers_and_anchors(spark):
