@@ -38,6 +38,16 @@ def _written(lines: DataFrame, label: str) -> str:
     return path
 
 
+def _documents(rows: DataFrame, label: str, root: str, parts: int = 8) -> str:
+    """Folder of well-formed XML files of the elements in the rows (one column)."""
+    spark, path = rows.sparkSession, _folder(rows.sparkSession, label)
+    x = rows.select(F.col(rows.columns[0]).alias("value"), F.lit(1).alias("at"), F.pmod(F.xxhash64(rows.columns[0]), F.lit(parts)).alias("part"))
+    for at, tag in ((0, f"<{root}>"), (2, f"</{root}>")):
+        x = x.unionByName(spark.range(parts).select(F.lit(tag).alias("value"), F.lit(at).alias("at"), F.col("id").alias("part")))
+    x.repartition("part").sortWithinPartitions("part", "at").select("value", "part").write.partitionBy("part").text(path)
+    return path
+
+
 def _xml(c: Column) -> Column:
     return publish.escaped(c)
 
@@ -50,7 +60,7 @@ def result_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = named.unionByName(t.select(F.col("s").alias("uri")).distinct().join(named, "uri", "left_anti").withColumn("id", F.lit(None).cast("string")))
     bound = lambda name, kind, c: F.concat(F.lit(f"<binding name='{name}'><{kind}>"), _xml(c), F.lit(f"</{kind}></binding>"))
     lines = rows.select(F.concat(F.lit("<result>"), bound("uri", "uri", F.col("uri")), F.coalesce(bound("id", "literal", F.col("id")), F.lit("")), F.lit("</result>")).alias("value"))
-    return files.query_results(spark, _written(lines, "results"), ["uri", "id"])
+    return files.query_results(spark, _documents(lines, "results", "results"), ["uri", "id"])
 
 
 def _concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +76,7 @@ def wiki_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = names.select(page(F.col("name"), F.concat(F.lit("Om "), "name")).alias("value"))
     upper = names.where(F.upper("name") != F.col("name")).groupBy(F.upper("name").alias("upper")).agg(F.min("name").alias("name"))
     lines = lines.unionByName(upper.select(page(F.col("upper"), F.concat(F.lit("#OMDIRIGERING [["), "name", F.lit("]]"))).alias("value")))
-    return files.resolved(files.wiki_export(spark, _written(lines, "wiki")))
+    return files.resolved(files.wiki_export(spark, _documents(lines, "wiki", "mediawiki")))
 
 
 def _org_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +305,7 @@ _GONE = "SELECT DISTINCT uri FROM dv_cases WHERE withdrawn_at IS NOT NULL AND ur
 _REPLACED = f"""WITH st AS ({_STATED}) SELECT g, p, count(*) AS n FROM st WHERE s NOT IN ({_GONE}) GROUP BY g, p
 UNION ALL SELECT 'log' AS g, 'rinfoex:status' AS p, count(*) AS n FROM ({_GONE}) HAVING count(*) > 0"""
 _ORG_SQL = f"'{ORG}' || {slug_sql('creator')}"
-_NAMES = "SELECT DISTINCT regexp_extract(text, '^\'\'\'([^\']+)\'\'\'', 1) AS name FROM documents WHERE source = 'wiki'".replace("\\'", "''")
+_NAMES = "SELECT DISTINCT regexp_extract(text, '^''''''([^'']+)''''''', 1) AS name FROM documents WHERE source = 'wiki'"
 _ROOT = "(SELECT min(parent) FROM e WHERE starts_with(parent, 'http://rinfo.example/publ/sfs/') AND NOT contains(parent, '#'))"
 
 
