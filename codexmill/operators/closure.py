@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from codexmill.session import materialize
 
 
-#: Steps that are planned at once; a round of them is one job.
-STEPS = 6
+#: Steps that the first round plans at once, and the most that a later one does: rounds double.
+STEPS, MOST_STEPS = 6, 24
 
 
 def reached(edges: DataFrame, starts: DataFrame, steps: int = STEPS) -> DataFrame:
@@ -19,7 +19,7 @@ def reached(edges: DataFrame, starts: DataFrame, steps: int = STEPS) -> DataFram
     A round follows ``steps`` edges in one plan: a row carries the nodes on its
     way, so no step is computed twice, and rows whose way has ended are spread,
     not gathered under one NULL. Pairs first reached by a round's last step go
-    on to the next one, so cycles end. Each round is written to the shared
+    on to the next one, which takes twice as many, so cycles end. Each round is written to the shared
     folder. Set semantics; NULLs never match; no starts, no rows.
     """
     e = edges.select("frm", "to").where("frm IS NOT NULL AND to IS NOT NULL").distinct()
@@ -27,19 +27,27 @@ def reached(edges: DataFrame, starts: DataFrame, steps: int = STEPS) -> DataFram
     front = starts.select("start").where("start IS NOT NULL").distinct().withColumn("node", F.col("start"))
     seen: DataFrame | None = None
     while True:
-        cur = front.select("start", F.col("node").alias("at"), F.array().cast("array<string>").alias("way"))
-        for _ in range(steps):
-            step = cur.join(e, F.col("at") == F.col("frm"), "left")
-            over = F.col("to").isNull()
-            cur = step.select("start", F.when(over, F.concat(F.lit("\x00"), "start")).otherwise(F.col("to")).alias("at"), F.when(over, F.col("way")).otherwise(F.array_append("way", F.col("to"))).alias("way"))
-        pairs = cur.select("start", F.posexplode("way").alias("step", "node")).groupBy("start", "node").agg((F.min("step") + 1).alias("step"))
+        pairs = e.sparkSession.sql(_round(steps), front=front, e=e)
         if seen is not None:
             pairs = pairs.join(seen.select("start", "node"), ["start", "node"], "left_anti")
-        new = materialize(pairs, "reached")
+        more = Observation()
+        last = F.col("step") == steps
+        new = materialize(pairs.observe(more, F.count(F.when(last, 1)).alias("n")), "reached")
         seen = new if seen is None else seen.unionByName(new)
-        front = new.where(F.col("step") == steps).select("start", "node")
-        if front.isEmpty():
+        if not more.get["n"]:
             return seen.select("start", "node")
+        front = new.where(last).select("start", "node")
+        steps = max(steps, min(2 * steps, MOST_STEPS))
+
+
+def _round(steps: int) -> str:
+    """(start, node, step): the nodes up to so many steps from {front}. As one
+    text it is analysed once; built step by step, once for every step."""
+    way = "SELECT start, node AS at, CAST(array() AS ARRAY<STRING>) AS way FROM {front}"
+    for _ in range(steps):
+        way = f"""SELECT start, coalesce(e.to, concat(char(0), start)) AS at, if(e.to IS NULL, way, array_append(way, e.to)) AS way
+                  FROM ({way}) c LEFT JOIN {{e}} e ON c.at = e.frm"""
+    return f"SELECT start, node, min(step) + 1 AS step FROM (SELECT start, posexplode(way) AS (step, node) FROM ({way})) GROUP BY start, node"
 
 
 def closure(edges: DataFrame, roots: DataFrame, include_roots: bool = True) -> DataFrame:
