@@ -194,7 +194,11 @@ def linked(aliases: dict[str, str] | None = None, base: str = BASE, ext: str = E
 
 
 # What introduces a defined term or an offence's name.
-DEFINITIONS = (r"Med ([\p{L}\- ]+?) (?:avses|förstås)", r"döms? för ([\p{L}\- ]+?) till", r"dömes för ([\p{L}\- ]+?) till", r"[Ff]ör ([\p{L}\- ]+?) döms", r"skall för ([\p{L}\- ]+?) dömas")
+DEFINITIONS = (r"Med ([\p{L}\- ]+?) (?:avses|förstås)", r"döms? för ([\p{L}\- ]+?) till", r"dömes för ([\p{L}\- ]+?) till", r"[Ff]ör ([\p{L}\- ]+?) döms", r"skall för ([\p{L}\- ]+?) dömas",
+    r"döme?s, [^.]*, för ([\p{L}\- ]+?) till", r"\((\p{Ll}[\p{Ll}\-]+)\)\.")
+#: What introduces a list of terms, and a term in it: before a colon or dash, with or without a number, letter or dash.
+TERM_LIST = r"(?s)(?:avses med|betyder|förstås med):?[ \t]*\n(.*)$"
+LISTED_TERM = r"(?m)^(?:[0-9]+\. |[a-z]\) |[-–] )?(\p{Ll}[\p{L}\- ]{0,60}?)(?::| [-–]) "
 
 
 def concept(term: Column, base: str = BASE) -> Column:
@@ -204,7 +208,7 @@ def concept(term: Column, base: str = BASE) -> Column:
 
 def definitions(text: Column) -> Column:
     """Terms that a text defines, by rule and in order."""
-    return F.concat(*[all_of(text, p, 1) for p in DEFINITIONS])
+    return F.concat(*[all_of(text, p, 1) for p in DEFINITIONS], all_of(F.regexp_extract(text, TERM_LIST, 1), LISTED_TERM, 1))
 
 
 def amendment_notes(text: Column) -> Column:

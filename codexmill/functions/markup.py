@@ -364,14 +364,39 @@ def categories(text: str) -> list[str]:
     return [m.strip() for m in re.findall(r"\[\[(?:Kategori|Category):([^|\]]+)", text, re.IGNORECASE)]
 
 
+_TEMPLATE = re.compile(r"\{\{([^{}]+)\}\}")
+_PARAMETER = re.compile(r"\{\{\{([^{}|]+)(?:\|([^{}]*))?\}\}\}")
+
+
+def expanded(text: str, templates: dict[str, str], within: tuple[str, ...] = ()) -> str:
+    """Text with its templates in place: ``{{name|value|key=value}}``, where a
+    template has ``{{{1}}}`` or ``{{{key|default}}}``. One that is not known, or
+    that would expand itself, becomes a link to its page."""
+
+    def one(m: re.Match) -> str:
+        name, *args = m[1].split("|")
+        name = name.strip()
+        name = name[:1].upper() + name[1:]
+        if name not in templates or name in within:
+            return f"[[Mall:{name}]]"
+        values = {}
+        for a in args:
+            key, given, value = a.partition("=")
+            values[key.strip() if given else str(sum(k.isdigit() for k in values) + 1)] = value.strip() if given else a.strip()
+        body = _PARAMETER.sub(lambda p: values.get(p[1].strip(), p[2] or ""), templates[name])
+        return expanded(body, templates, (*within, name))
+
+    return _TEMPLATE.sub(one, text)
+
+
 def spacing(text: str) -> str:
     """A space before ? : ; ! % » and after « does not break."""
     return re.sub(r"(?<=«) ", "&nbsp;", re.sub(r"(?<=\S) (?=[?:;!%»](?:\s|$))", "&nbsp;", text))
 
 
-def render(text: str | None, lite: bool = False, show_toc: bool = True, hooks: dict[str, Hook] | None = None) -> str | None:
+def render(text: str | None, lite: bool = False, show_toc: bool = True, hooks: dict[str, Hook] | None = None, templates: dict[str, str] | None = None) -> str | None:
     """HTML of a page. ``lite`` leaves tables, contents and anchors out;
-    ``hooks`` are by default the registered ones."""
+    ``hooks`` are by default the registered ones, ``templates`` are expanded."""
     if text is None:
         return None
     held: list[str] = []
@@ -385,6 +410,7 @@ def render(text: str | None, lite: bool = False, show_toc: bool = True, hooks: d
     text = _PROTECTED.sub(lambda m: "" if m[1] is None else hold(f"<pre>{_html.escape(m[2], quote=False)}</pre>" if m[1] == "pre" else _html.escape(m[2], quote=False)), text)
     for tag, fn in (HOOKS if hooks is None else hooks).items():
         text = re.sub(rf"<{tag}((?:\s[^<>]*)?)>(.*?)</{tag}>", lambda m, f=fn: hold(f(m[2], {a: b or c or d for a, b, c, d in _ATTR.findall(m[1])})), text, flags=re.DOTALL)
+    text = expanded(text, templates) if templates else text
     text = _ENTITY.sub(_reference, sanitised(text))
     flags = {w for w in MAGIC if w in text}
     for w in flags:
@@ -405,14 +431,14 @@ def render(text: str | None, lite: bool = False, show_toc: bool = True, hooks: d
     return re.sub(r"\x7f(\d+)\x7f", lambda m: held[int(m[1])], text)
 
 
-def html(text: Column | str, lite: bool = False, show_toc: bool = True, hooks: dict[str, Hook] | None = None) -> Column:
-    """``render`` as a column. Hooks travel with the query: a worker knows
-    nothing of what was registered on the driver."""
+def html(text: Column | str, lite: bool = False, show_toc: bool = True, hooks: dict[str, Hook] | None = None, templates: dict[str, str] | None = None) -> Column:
+    """``render`` as a column. Hooks and templates travel with the query: a
+    worker knows nothing of what was registered on the driver."""
     known = dict(HOOKS) | (hooks or {})
 
     @F.pandas_udf(T.StringType())
     def page(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: render(x, lite, show_toc, known), na_action="ignore")
+        return t.map(lambda x: render(x, lite, show_toc, known, templates), na_action="ignore")
 
     return page(text)
 

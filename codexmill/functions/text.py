@@ -6,10 +6,8 @@ delimiter nothing follows it: the last, empty piece of a split is no chunk.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 LINE, PARAGRAPH, PAGE = "\n", "\n\n", "\f"
 
@@ -68,17 +66,31 @@ def dewrapped(chunk: Column, line: str = LINE) -> Column:
     return F.replace(chunk, F.lit(line), F.lit(" "))
 
 
-@F.pandas_udf(T.StringType())
-def expanded_tabs(chunk: pd.Series) -> pd.Series:
+def expanded_tabs(chunk: Column, width: int = 8) -> Column:
     """Tab stops every eight columns, counted anew on every line."""
-    return chunk.map(lambda x: None if x is None else x.expandtabs(8))
+    wide = lambda a: (F.floor(F.length(a) / width).cast("int") + 1) * width
 
+    def line(x: Column) -> Column:
+        cells = F.split(x, "\t", -1)
+        return F.aggregate(F.slice(cells, 2, F.size(cells)), cells[0], lambda a, c: F.concat(F.rpad(a, wide(a), F.lit(" ")), c))
 
-def cleaned(chunk: Column, tabs: bool = False) -> Column:
-    """Strip, join wrapped lines, and expand tabs where asked, in this order.
-    Python sees only chunks that hold a tab."""
-    out = dewrapped(stripped(chunk))
-    return F.coalesce(expanded_tabs(F.when(F.contains(out, F.lit("\t")), out)), out) if tabs else out
+    return F.array_join(F.transform(F.split(chunk, "\n", -1), line), "\n")
+
+
+def cleaned(chunk: Column, strip: bool = True, dewrap: bool = True, tabs: bool = True) -> Column:
+    """Strip, join wrapped lines and expand tabs, in this order."""
+    out = stripped(chunk) if strip else chunk
+    out = dewrapped(out) if dewrap else out
+    return F.when(F.contains(out, F.lit("\t")), expanded_tabs(out)).otherwise(out) if tabs else out
+
+
+def encode_uri(s: Column, reserved: bool = True) -> Column:
+    """Percent-encoded; without ``reserved`` characters that part a URI stay."""
+    out = F.replace(F.replace(F.url_encode(s), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A"))
+    out = F.replace(out, F.lit("%7E"), F.lit("~"))
+    for c in "" if reserved else ";/?:@&=+$,[]":
+        out = F.replace(out, F.lit(f"%{ord(c):02X}"), F.lit(c))
+    return out
 
 
 def before(s: Column, what: str) -> Column:

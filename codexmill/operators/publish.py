@@ -82,7 +82,7 @@ def cells(line: Column) -> Column:
     return F.transform(F.split(F.trim(line), r"\t|\s*\|\s*| {2,}", -1), lambda x: F.trim(x))
 
 
-def layout_tables(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
+def layout_tables(lines: DataFrame, doc: str = "doc_id", keep: bool = False) -> DataFrame:
     """(doc, table_no, row_no, n_cells, first, last) of lines (doc, pos, chunk)
     that have two cells or more; lines that follow each other are one table."""
     t = lines.withColumn("_c", cells(F.col("chunk"))).where(F.size("_c") > 1)
@@ -90,9 +90,18 @@ def layout_tables(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
     t = t.withColumn("_new", F.when(F.col("pos") == F.lag("pos").over(w) + 1, 0).otherwise(1))
     t = t.withColumn("table_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("int"))
     row = F.row_number().over(Window.partitionBy(doc, "table_no").orderBy("pos"))
+    if keep:
+        return t.select(doc, "table_no", row.alias("row_no"), F.col("_c").alias("cells"))
     return t.select(doc, "table_no", row.alias("row_no"), F.size("_c").alias("n_cells"), F.element_at("_c", 1).alias("first"), F.element_at("_c", -1).alias("last"))
 
 
+def layout_cells(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """(doc, table_no, row_no, cell_no, cell): every cell of ``layout_tables``,
+    empty ones too."""
+    rows = layout_tables(lines, doc, keep=True)
+    return rows.select(doc, "table_no", "row_no", F.posexplode("cells").alias("cell_no", "cell"))
+
+
 def decoded(content: Column) -> Column:
     """Bytes as UTF-8 where they are valid, else as ISO-8859-1."""
     return F.coalesce(F.try_validate_utf8(content.cast("string")), F.decode(content, "ISO-8859-1"))

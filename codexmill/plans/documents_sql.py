@@ -1,5 +1,8 @@
 """DuckDB SQL of the queries in ``documents``."""
 
+from functools import reduce
+
+from codexmill.functions.citations import DEFINITIONS, LISTED_TERM, TERM_LIST
 from codexmill.functions.text import transliteration
 
 _ST = "SELECT DISTINCT g, s, p, o, o_kind, o_datatype, o_lang FROM triples WHERE s IS NOT NULL AND o IS NOT NULL"
@@ -59,7 +62,14 @@ _PROP = r"\b[Pp]rop\. ([0-9]{4}(?:/[0-9]{2,4})?:[0-9]+)"
 _BET = r"\b[Bb]et\. ([0-9]{4}/[0-9]{2,4}:[A-Z][A-Za-z]+[0-9]+)"
 _RSKR = r"\b[Rr]skr\. ([0-9]{4}/[0-9]{2,4}:[0-9]+)"
 _CELEX = r"\b(3[0-9]{4}[A-Z][0-9]{4}|3[0-9]{2}[A-Z][0-9]{4})\b"
-_DEFS = (r"Med ([\p{L}\- ]+?) (?:avses|förstås)", r"döms? för ([\p{L}\- ]+?) till", r"dömes för ([\p{L}\- ]+?) till", r"[Ff]ör ([\p{L}\- ]+?) döms", r"skall för ([\p{L}\- ]+?) dömas")
+
+
+def defs_sql() -> str:
+    """List of the terms that ``text`` defines."""
+    lists = [f"regexp_extract_all(text, '{p}', 1)" for p in DEFINITIONS] + [f"regexp_extract_all(regexp_extract(text, '{TERM_LIST}', 1), '{LISTED_TERM}', 1)"]
+    return reduce(lambda a, b: f"list_concat({a}, {b})", lists)
+
+
 
 ORACLE = {
     "uri_parse": _PARSED + "SELECT * FROM r WHERE type IS NOT NULL",
@@ -69,7 +79,8 @@ CASE WHEN publikation = 'nja' THEN 's' || coalesce(sidnummer, 'None') ELSE ':' |
     "tally": _PARSED + "SELECT type, count(*) AS n, CAST(sum(CASE WHEN uri = again THEN 1 ELSE 0 END) AS BIGINT) AS passed FROM again WHERE type IS NOT NULL GROUP BY type",
     "uri_parts": _URIS + "SELECT uri, regexp_extract(uri, '^(.*[#/:])', 1) AS ns, regexp_extract(uri, '([^#/:]*)$', 1) AS name, CAST(CASE WHEN contains(uri, '/') THEN length(uri) - strpos(reverse(uri), '/') + 1 ELSE 0 END AS INT) AS last_slash FROM u",
     "segment_lines": _chunks("chr(10)") + "SELECT doc_id, pos, chunk FROM c",
-    "segment_paragraphs": _chunks("chr(10) || chr(10)") + r"SELECT doc_id, pos, chunk, replace(regexp_replace(regexp_replace(chunk, '^\s+', ''), '\s+$', ''), chr(10), ' ') AS clean FROM c",
+    "segment_paragraphs": _chunks("chr(10) || chr(10)") + r""", d AS (SELECT *, replace(regexp_replace(regexp_replace(chunk, '^\s+', ''), '\s+$', ''), chr(10), ' ') AS x FROM c)
+SELECT doc_id, pos, chunk, list_reduce(string_split(x, chr(9)), lambda a, y: rpad(a, CAST((length(a) // 8 + 1) * 8 AS INT), ' ') || y) AS clean FROM d""",
     "segment_positions": _chunks("chr(10) || chr(10)") + "SELECT doc_id, pos, CAST(coalesce(sum(length(chunk) + 2) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, CAST(length(chunk) AS INT) AS length FROM c",
     "peek_prev": _chunks("chr(10)") + "SELECT doc_id, pos, chunk, lead(chunk) OVER w AS peek, lag(chunk) OVER w AS prev FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY pos)",
     "cue_readto": "SELECT doc_id, CAST(nullif(strpos(text, '§'), 0) - 1 AS INT) AS cue, CAST(nullif(strpos(text, '§'), 0) AS INT) AS past, CASE WHEN strpos(text, '§') > 0 THEN substr(text, 1, strpos(text, '§') - 1) END AS upto, substr(text, 11, 20) AS part FROM documents",
@@ -132,7 +143,7 @@ UNION ALL SELECT 'http://rinfo.example/publ/sfs/' || unnest(regexp_extract_all(t
 SELECT uri, count(*) AS n FROM x GROUP BY uri""",
     "celex_normalise": r"""WITH d AS (SELECT DISTINCT case_id, artal, '3' || substr(artal, 3, 2) || 'L' || printf('%04d', case_id % 10000) AS old FROM dv_cases WHERE artal IS NOT NULL)
 SELECT case_id, old, regexp_replace(old, '^3([0-9]{2})([A-Z])', '319\1\2') AS celex, regexp_replace('3' || artal || 'L0019', '^3([0-9]{2})([A-Z])', '319\1\2') AS kept FROM d""",
-    "definitions": "WITH x AS (" + " UNION ALL ".join(f"SELECT doc_id, unnest(regexp_extract_all(text, '{p}', 1)) AS term FROM documents" for p in _DEFS) + """)
+    "definitions": f"WITH x AS (SELECT doc_id, unnest({defs_sql()}) AS term FROM documents" + """)
 SELECT DISTINCT doc_id, term, 'http://rinfo.example/concept/' || upper(left(replace(trim(term), ' ', '_'), 1)) || substr(replace(trim(term), ' ', '_'), 2) AS concept FROM x""",
     "amendment_notes": r"SELECT act, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '(?:Lag|Förordning) \(([0-9]{4}:[0-9]+)\)\.', 1)) AS act FROM documents) GROUP BY act",
     "wiki_links": r"SELECT target, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '\[\[([^\]|]+)', 1)) AS target FROM documents WHERE source = 'wiki') GROUP BY target",

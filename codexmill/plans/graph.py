@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codexmill import model as M
-from codexmill.functions.citations import DEFINITIONS, definitions
+from codexmill.functions.citations import definitions
 from codexmill.operators.closure import above, closure, hops
+from codexmill.plans.documents_sql import defs_sql
 from codexmill.session import table
 
 
@@ -267,10 +268,10 @@ WHERE p IN ('rinfo:lagrum', 'dct:references', 'rinfo:ersatter', 'rinfo:inforsI',
 WITH pages AS (SELECT lower(regexp_extract(text, '^''''''([^'']+)''''''', 1)) AS concept, text FROM documents WHERE source = 'wiki'),
 w AS (SELECT concept, sum(len(list_filter(string_split_regex(text, '[ \r\n\t]+'), lambda x: x <> ''))) AS words, count(*) AS wikipedia FROM pages WHERE concept <> '' GROUP BY concept),
 c AS (SELECT lower(o) AS concept, count(*) AS cases FROM (SELECT DISTINCT s, o FROM triples WHERE p = 'dct:subject' AND s IS NOT NULL AND o IS NOT NULL) GROUP BY 1),
-d AS (SELECT lower(x) AS concept, count(*) AS definitions FROM (SELECT unnest(list_concat(@DEFS@)) AS x FROM documents) GROUP BY 1)
+d AS (SELECT lower(x) AS concept, count(*) AS definitions FROM (SELECT unnest(@DEFS@) AS x FROM documents) GROUP BY 1)
 SELECT concept, CAST(coalesce(words, 0) AS BIGINT) AS words, coalesce(cases, 0) AS cases, coalesce(definitions, 0) AS definitions, coalesce(wikipedia, 0) AS wikipedia,
   CAST(coalesce(words, 0) + coalesce(cases, 0) + 5 * coalesce(definitions, 0) + 5 * coalesce(wikipedia, 0) AS BIGINT) AS score
-FROM w FULL JOIN c USING (concept) FULL JOIN d USING (concept)""".replace("@DEFS@", ", ".join(f"regexp_extract_all(text, '{x}', 1)" for x in DEFINITIONS)),
+FROM w FULL JOIN c USING (concept) FULL JOIN d USING (concept)""".replace("@DEFS@", defs_sql()),
 }
 
 T_SQL = _T

@@ -7,8 +7,6 @@ Turtle, an export with tabs, ...), into the shared folder, and then read back.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,30 +17,26 @@ from codexmill.operators import publish, store
 from codexmill.operators.closure import closure_sql
 from codexmill.plans import graph
 from codexmill.plans.documents_sql import nr_sql, slug_sql
-from codexmill.session import materialize, shared_dir, table
-from codexmill.sources import files
+from codexmill.session import materialize, scratch, table
+from codexmill.sources import files, rdfxml
 from codexmill.sources.repositories import Repository, newest, unseen
 from codexmill.streaming import refresh
 
 ORG = M.BASE.rsplit("/", 1)[0] + "/org/"
 
 
-def _folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/codexmill/{label}-{uuid.uuid4().hex}"
-
-
 def _written(lines: DataFrame, label: str) -> str:
     """Folder of text files that hold the lines (one column)."""
-    path = _folder(lines.sparkSession, label)
+    path = scratch(lines.sparkSession, label)
     lines.write.text(path)
     return path
 
 
 def _documents(rows: DataFrame, label: str, root: str, parts: int = 8) -> str:
     """Folder of well-formed XML files of the elements in the rows (one column)."""
-    spark, path = rows.sparkSession, _folder(rows.sparkSession, label)
+    spark, path = rows.sparkSession, scratch(rows.sparkSession, label)
     x = rows.select(F.col(rows.columns[0]).alias("value"), F.lit(1).alias("at"), F.pmod(F.xxhash64(rows.columns[0]), F.lit(parts)).alias("part"))
-    for at, tag in ((0, f"<{root}>"), (2, f"</{root}>")):
+    for at, tag in ((0, f"<{root}>"), (2, f"</{root.split()[0]}>")):
         x = x.unionByName(spark.range(parts).select(F.lit(tag).alias("value"), F.lit(at).alias("at"), F.col("id").alias("part")))
     x.repartition("part").sortWithinPartitions("part", "at").select("value", "part").write.partitionBy("part").text(path)
     return path
@@ -167,7 +161,7 @@ def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     character that the encoding lacks shows as '?'. The second read takes only
     what changed since the first: nothing."""
     b = table(spark, sf_dir, "skvfs_regulations").where("body IS NOT NULL").select("reg_id", "body").distinct()
-    path = _folder(spark, "files")
+    path = scratch(spark, "files")
     b.select("reg_id", F.base64(F.encode(F.regexp_replace("body", "[^\\x{0}-\\x{ff}]", "?"), "iso-8859-1")).alias("value")).repartition("reg_id").write.partitionBy("reg_id").option("maxRecordsPerFile", 1).text(path)
     raw = spark.read.option("recursiveFileLookup", "true")
     f = raw.format("binaryFile").load(path).where("length > 0")
@@ -193,7 +187,7 @@ def pages_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store_added(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The triples put into a store twice, which holds them once."""
-    path, t = _folder(spark, "store"), M.statements(spark, sf_dir)
+    path, t = scratch(spark, "store"), M.statements(spark, sf_dir)
     for _ in range(2):
         store.add(t, path)
     return store.read(spark, path).groupBy("g", "p").agg(F.count("*").alias("n"))
@@ -208,7 +202,7 @@ def _withdrawn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store after what it said about withdrawn cases was replaced."""
-    path = _folder(spark, "store")
+    path = scratch(spark, "store")
     store.add(M.statements(spark, sf_dir), path)
     store.replace_subjects(_withdrawn(spark, sf_dir), path)
     return store.read(spark, path).groupBy("g", "p").agg(F.count("*").alias("n"))
@@ -216,7 +210,7 @@ def store_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through a stream: statements are appended, then replaced."""
-    path, feed, news, cp = (_folder(spark, x) for x in ("store", "feed", "news", "checkpoint"))
+    path, feed, news, cp = (scratch(spark, x) for x in ("store", "feed", "news", "checkpoint"))
     M.statements(spark, sf_dir).write.parquet(feed)
     refresh.append_new(refresh.watched(spark, feed, M.TRIPLES), path, cp + "/1").awaitTermination()
     _withdrawn(spark, sf_dir).write.parquet(news)
@@ -229,7 +223,7 @@ def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     document about an act, and one without a type is minor."""
     d = table(spark, sf_dir, "documents").where("about IS NOT NULL")
     saved = d.select(F.col("about").alias("title"), F.col("doc_id").cast("string").alias("text"), F.col("doc_type").isNull().alias("minor"), F.struct("fetched_at", "doc_id").alias("at"))
-    edits, out, cp = (_folder(spark, x) for x in ("edits", "pages", "checkpoint"))
+    edits, out, cp = (scratch(spark, x) for x in ("edits", "pages", "checkpoint"))
     last = saved.groupBy("title", "minor").agg(F.max_by("text", "at").alias("text"), F.max("at.fetched_at").alias("saved_at"))
     last.write.parquet(edits)
     stream = refresh.watched(spark, edits, "title string, minor boolean, text string, saved_at timestamp")
@@ -293,8 +287,34 @@ def short_title_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.where("run.uri IS NOT NULL").join(labels, "label").select("label", "run.text", F.regexp_replace("run.uri", "^.*/sfs/", "").alias("target"), F.regexp_replace("uri", "^.*/sfs/", "").alias("act"))
 
 
+def rdf_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements written as RDF/XML and read again: by predicate, kind and
+    language, how many came back."""
+    t = M.stated(spark, sf_dir)
+    head, _, _ = store.ENVELOPES["xml"]
+    path = _documents(store.serialized(t, "xml"), "rdfxml", head[1:-1])
+    again = rdfxml.read(spark, path, "again").select("s", "p", "o", "o_kind", "o_datatype", "o_lang").distinct()
+    return again.groupBy("p", "o_kind", "o_datatype", "o_lang").agg(F.count("*").alias("n"), F.max("o").alias("last"))
+
+
+def serialisations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases' statements in every form, by form and line."""
+    t = M.stated(spark, sf_dir).where("g = 'dv'")
+    out = None
+    for form in ("nt", "nq", "ttl", "trig", "xml", "trix", "json"):
+        rows = store.serialized(t, form).select(F.lit(form).alias("form"), "line")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def encoded_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URIs as parts of another URI, and as links."""
+    u = M.stated(spark, sf_dir).select(F.col("s").alias("uri")).distinct()
+    return u.select("uri", X.encode_uri(F.col("uri")).alias("part"), X.encode_uri(F.concat("uri", F.lit("?å ä")), False).alias("link"))
+
+
 _QUERIES = (
-    result_documents, wiki_redirects, turtle_dictionary, authority_join, listed_provisions, area_export, simple_list, landing_links, newest_directive, source_settings,
+    rdf_xml_documents, serialisations, encoded_uris, result_documents, wiki_redirects, turtle_dictionary, authority_join, listed_provisions, area_export, simple_list, landing_links, newest_directive, source_settings,
     text_files, decoded_bytes, pages_of_text, store_added, store_replaced, stream_replaced, stream_pages, newest_key, inbound_one, contained_in_one, blank_nodes, page_slots,
     xhtml_nodes, short_title_links,
 )
@@ -314,7 +334,26 @@ def _located(name: str, url: str, path: str, landed: str) -> str:
 
 
 _Y, _N = "split_part(nr, ':', 1)", "split_part(nr, ':', 2)"
+_BRACED = lambda c: f"'<' || {c} || '>'"
+_FULL = "CASE split_part(p, ':', 1) " + " ".join(f"WHEN '{k}' THEN '{v}' || substr(p, {len(k) + 2})" for k, v in M.PREFIXES.items()) + " ELSE p END"
+_NT_ESC = "replace(replace(replace(replace(replace(o, chr(92), chr(92) || chr(92)), '\"', chr(92) || '\"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't')"
+_NT_O = f"CASE WHEN o_kind = 'uri' THEN {_BRACED('o')} ELSE '\"' || {_NT_ESC} || '\"' || CASE WHEN o_lang IS NOT NULL THEN '@' || o_lang WHEN o_datatype IS NOT NULL THEN '^^<' || replace(o_datatype, 'xsd:', '{M.PREFIXES['xsd']}') || '>' ELSE '' END END"
+_X = lambda c: f"""replace(replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')"""
+_JS = lambda c: f"to_json({c})"
 ORACLE = {
+    "rdf_xml_documents": f"SELECT p, o_kind, o_datatype, o_lang, count(*) AS n, max(o) AS last FROM (SELECT DISTINCT s, p, o, o_kind, o_datatype, o_lang FROM ({_STATED})) GROUP BY p, o_kind, o_datatype, o_lang",
+    "serialisations": f"""WITH st AS (SELECT *, {_BRACED("s")} AS a, {_BRACED(_FULL)} AS b, {_NT_O} AS c FROM ({_STATED}) WHERE g = 'dv')
+SELECT 'nt' AS form, a || ' ' || b || ' ' || c || ' .' AS line FROM st UNION ALL SELECT 'nq', a || ' ' || b || ' ' || c || ' <' || g || '> .' FROM st
+UNION ALL SELECT 'ttl', a || ' ' || p || ' ' || c || ' .' FROM st UNION ALL SELECT 'trig', '<' || g || '> {{ ' || a || ' ' || p || ' ' || c || ' }}' FROM st
+UNION ALL SELECT 'xml', '<rdf:Description rdf:about="' || {_X("s")} || '">' || CASE WHEN o_kind = 'uri' THEN '<' || p || ' rdf:resource="' || {_X("o")} || '"/>' ELSE '<' || p ||
+  CASE WHEN o_lang IS NOT NULL THEN ' xml:lang="' || o_lang || '"' WHEN o_datatype IS NOT NULL THEN ' rdf:datatype="' || o_datatype || '"' ELSE '' END || '>' || {_X("o")} || '</' || p || '>' END || '</rdf:Description>' FROM st
+UNION ALL SELECT 'trix', '<graph><uri>' || g || '</uri><triple><uri>' || {_X("s")} || '</uri><uri>' || {_FULL} || '</uri>' || CASE WHEN o_kind = 'uri' THEN '<uri>' || {_X("o")} || '</uri>'
+  WHEN o_lang IS NOT NULL THEN '<plainLiteral xml:lang="' || o_lang || '">' || {_X("o")} || '</plainLiteral>' WHEN o_datatype IS NOT NULL THEN '<typedLiteral datatype="' || o_datatype || '">' || {_X("o")} || '</typedLiteral>'
+  ELSE '<plainLiteral>' || {_X("o")} || '</plainLiteral>' END || '</triple></graph>' FROM st
+UNION ALL SELECT 'json', '{{"s":{{"type":"uri","value":' || {_JS("s")} || '}},"p":{{"type":"uri","value":' || {_JS(_FULL)} || '}},"o":{{"type":"' || o_kind || '","value":' || {_JS("o")} ||
+  CASE WHEN o_lang IS NOT NULL THEN ',"xml:lang":"' || o_lang || '"' ELSE '' END || CASE WHEN o_datatype IS NOT NULL THEN ',"datatype":"' || o_datatype || '"' ELSE '' END || '}}}}' FROM st""",
+    "encoded_uris": """WITH u AS (SELECT DISTINCT s AS uri FROM triples WHERE s IS NOT NULL AND o IS NOT NULL) SELECT uri, url_encode(uri) AS part,
+replace(replace(replace(replace(url_encode(uri || '?å ä'), '%3A', ':'), '%2F', '/'), '%3F', '?'), '%23', '%23') AS link FROM u""",
     "result_documents": f"""WITH st AS ({_STATED}), i AS (SELECT DISTINCT s, o FROM st WHERE p = 'dct:identifier')
 SELECT s AS uri, trim(o) AS id FROM i UNION ALL SELECT DISTINCT s, CAST(NULL AS VARCHAR) FROM st WHERE s NOT IN (SELECT s FROM i)""",
     "wiki_redirects": f"""WITH n AS ({_NAMES}) SELECT name AS title, name AS target FROM n WHERE name <> '' UNION ALL SELECT upper(name), min(name) FROM n WHERE name <> '' AND upper(name) <> name GROUP BY upper(name)""",

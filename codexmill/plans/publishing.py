@@ -64,6 +64,10 @@ def layout_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.layout_tables(X.exploded(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", X.LINE))
 
 
+def layout_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.layout_cells(X.exploded(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", X.LINE))
+
+
 def lines_in_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readers inside of readers: lines, which never leave their paragraph."""
     p = X.exploded(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", X.PARAGRAPH, "paragraph", "part")
@@ -80,7 +84,7 @@ def landing_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return years.join(r, "year", "left").groupBy("year").agg(F.count("record_id").alias("n"))
 
 
-_QUERIES = (metadata_rendered, statute_pages, case_pages, regulation_pages, keyword_pages, index_pages, feed_entries, layout_tables, lines_in_paragraphs, landing_years)
+_QUERIES = (metadata_rendered, statute_pages, case_pages, regulation_pages, keyword_pages, index_pages, feed_entries, layout_tables, layout_cells, lines_in_paragraphs, landing_years)
 QUERIES = {f.__name__: f for f in _QUERIES}
 
 
@@ -121,6 +125,10 @@ p AS (SELECT doc, string_agg(html, chr(10) ORDER BY seq, i, html) AS html FROM h
 t AS (SELECT *, CASE WHEN pos = lag(pos) OVER w + 1 THEN 0 ELSE 1 END AS fresh FROM c WHERE len(c) > 1 WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 u AS (SELECT *, CAST(sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS INT) AS table_no FROM t)
 SELECT doc_id, table_no, CAST(row_number() OVER (PARTITION BY doc_id, table_no ORDER BY pos) AS INT) AS row_no, CAST(len(c) AS INT) AS n_cells, c[1] AS first, c[-1] AS last FROM u""",
+    "layout_cells": _LINES + r""", c AS (SELECT doc_id, pos, list_transform(string_split_regex(trim(chunk, ' '), '\t|\s*\|\s*| {2,}'), lambda x: trim(x, ' ')) AS c FROM l),
+t AS (SELECT *, CASE WHEN pos = lag(pos) OVER w + 1 THEN 0 ELSE 1 END AS fresh FROM c WHERE len(c) > 1 WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+u AS (SELECT *, CAST(sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS INT) AS table_no FROM t)
+SELECT doc_id, table_no, CAST(row_no AS INT) AS row_no, CAST(unnest(range(len(c))) AS INT) AS cell_no, unnest(c) AS cell FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, table_no ORDER BY pos) AS row_no FROM u)""",
     "lines_in_paragraphs": """WITH a AS (SELECT doc_id, string_split(text, chr(10) || chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
 b AS (SELECT doc_id, CASE WHEN parts[-1] = '' THEN parts[1:len(parts) - 1] ELSE parts END AS parts FROM a),
 c AS (SELECT doc_id, CAST(unnest(range(len(parts))) AS INT) AS paragraph, string_split(unnest(parts), chr(10)) AS parts FROM b),

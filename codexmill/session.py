@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -43,14 +44,40 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path for a table or folder of this application, below the shared
+    folder. ``release`` deletes them all; at the latest it is called when the
+    driver ends."""
+    global _at_exit
+    if not _at_exit:
+        _at_exit = True
+        atexit.register(_release_active)
+    return f"{shared_dir(spark).rstrip('/')}/codexmill/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+_at_exit = False
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has materialised. Call it once results are
+    written: a DataFrame that is not may still read from there."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/codexmill/{spark.sparkContext.applicationId}")
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def _release_active() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        release(spark)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a compressed table into the shared folder and read it
     back: lineage ends here, the rows survive the loss of any executor, and
-    later readers still prune columns and push filters down."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/codexmill/{label}-{uuid.uuid4().hex}"
+    later readers still prune columns and push filters down. See ``release``."""
+    path = scratch(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -158,6 +158,55 @@ def test_attributes_by_element_and_code_points():
     assert markup.render("&#65; &#0; &#xD800; &#x1F600; &eacute; &nosuch; &") == "<p>&#65; &amp;#0; &amp;#xD800; &#x1F600; &eacute; &amp;nosuch; &amp;</p>"
 
 
+DEFINED = [
+    ("Med ren förmögenhetsskada förstås i denna lag sådan skada.", ["ren förmögenhetsskada"]),
+    ("Inteckning får på ansökan dödas (dödning). För dödning krävs", ["dödning"]),
+    ("I denna lag betyder\n1. affärsförbindelse: en förbindelse,\n2. brevlådebank: ett institut", ["affärsförbindelse", "brevlådebank"]),
+    ("I förordningen avses med\nriksdagspension - pension enligt lagen\ntjänstepension - pension", ["riksdagspension", "tjänstepension"]),
+    ("I denna förordning avses med\n- funktionshinder: fysiska\na) hemskola: den skola", ["funktionshinder", "hemskola"]),
+    ("Den som smädar annan dömes, om gärningen ej är belagd med straff enligt 1 §, för förolämpning till böter.", ["förolämpning"]),
+    ("För miljöbrott döms till böter. Om grovt, skall för grovt brott dömas till fängelse. Den döms för mord till fängelse.", ["miljöbrott", "grovt brott", "mord"]),
+    ("Rubrik: inget (se lag). 1. nej: inte här", []),
+    (None, None),
+]
+
+
+def test_definitions_of_every_form(spark):
+    df = spark.createDataFrame([(t,) for t, _ in DEFINED], "t string")
+    got = [r[0] for r in df.select(C.definitions(F.col("t"))).collect()]
+    assert [x and sorted(x) for x in got] == [x and sorted(x) for _, x in DEFINED]
+
+
+def test_command_line(spark, capsys, tmp_path):
+    from codexmill.__main__ import main
+
+    main(["list"])
+    assert "inbound_links" in capsys.readouterr().out
+    main(["run", "top_cited", "/root/testdata/sf0.001", "--out", str(tmp_path / "o")])
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 20
+    main(["profile", "top_cited", "/root/testdata/sf0.001"])
+    assert capsys.readouterr().out.startswith("top_cited: ")
+    with pytest.raises(SystemExit, match="no such query"):
+        main(["run", "none", "x"])
+
+
+def test_tab_stops(spark):
+    ts = ["a\tb", "\t", "12345678\tx\ty", "å\tb\n123\t4", "", None, "no tabs"]
+    df = spark.createDataFrame([(t,) for t in ts], "t string")
+    assert [r[0] for r in df.select(X.expanded_tabs(F.col("t"))).collect()] == [None if t is None else t.expandtabs(8) for t in ts]
+    assert df.select(X.cleaned(F.col("t"), strip=False, dewrap=False)).collect()[3][0] == "å       b\n123     4"
+    assert "Python" not in df.select(X.cleaned(F.col("t")))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_templates_and_categories():
+    t = {"Lag": "''{{{1}}}'' ({{{nr|okänt}}})", "Loop": "{{Loop}}", "Yttre": "[{{Lag|{{{1}}}|nr=2}}]"}
+    assert markup.expanded("Se {{Lag|avtalslagen|nr=1915:218}} och {{Lag|x}}.", t) == "Se ''avtalslagen'' (1915:218) och ''x'' (okänt)."
+    assert markup.expanded("{{Yttre|a}} {{Saknas|b}} {{Loop}}", t) == "[''a'' (2)] [[Mall:Saknas]] [[Mall:Loop]]"
+    assert markup.render("{{Lag|a}}", templates=t) == "<p><i>a</i> (okänt)</p>"
+    assert markup.categories("[[Kategori:Avtal]] [[:Kategori:Köp]]") == ["Avtal"]
+    assert markup.render("x [[Kategori:Avtal]]") == "<p>x </p>" and ">Köp</a>" in markup.render("[[:Kategori:Köp|Köp]]")
+
+
 def test_short_urls(spark):
     urls = ["http://a.example/b", "http://a.example/" + "x" * 50, "http://a.example/" + "y/" * 30 + "end/", "http://" + "h" * 60]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
@@ -189,7 +238,7 @@ def test_text_units(spark):
     t = F.lit("abc def ghi")
     one = spark.range(1).select(X.cue(t, "def"), X.cue_past(t, "def"), X.read_to(t, "def"), X.cue(t, "zz"), X.read_to(t, "zz"), X.read(t, 3, 4), X.truncated(t, 6), X.before(t, "q"), X.after(t, "abc ")).collect()[0]
     assert tuple(one) == (4, 7, "abc ", None, None, "def", "abc...", "", "def ghi")
-    tabs = spark.createDataFrame([("  a\tb\nc  ",), (None,)], "t string").select(X.cleaned(F.col("t"), tabs=True)).collect()
+    tabs = spark.createDataFrame([("  a\tb\nc  ",), (None,)], "t string").select(X.cleaned(F.col("t"))).collect()
     assert [r[0] for r in tabs] == ["a       b c", None]
 
 

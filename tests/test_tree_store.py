@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from codexmill.operators import store, tree
 from codexmill.operators.closure import all_pairs, closure, closure_sql, hops
-from codexmill.sources import files
+from codexmill.sources import files, rdfxml
 from codexmill.streaming import refresh
 from tests.conftest import rows
 
@@ -115,6 +115,30 @@ def test_n_triples_both_ways(spark):
     assert rows(store.inlined_blank_nodes(t)) == [("_:b1", 0, True)]
 
 
+def test_rdf_xml(spark, tmp_path):
+    xml = """<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:dct="http://purl.org/dc/terms/" xmlns:e="http://e/" xml:lang="sv">
+      <e:Act rdf:about="http://x/1" dct:title="T"><dct:isPartOf rdf:resource="http://x/2"/><dct:issued rdf:datatype="xsd:date">2001-01-01</dct:issued>
+        <dct:creator><rdf:Description><dct:title>Org &amp; Co</dct:title></rdf:Description></dct:creator><e:ref rdf:nodeID="n"/></e:Act>
+      <rdf:Description rdf:about="http://x/2"><e:list rdf:parseType="Collection"><rdf:Description rdf:about="http://x/3"/></e:list></rdf:Description>
+    </rdf:RDF>"""
+    got = list(rdfxml.triples(xml))
+    assert sorted(got, key=str) == sorted([
+        ("http://x/1", "rdf:type", "http://e/Act", "uri", None, None), ("http://x/1", "dct:title", "T", "literal", None, "sv"), ("http://x/1", "dct:isPartOf", "http://x/2", "uri", None, None),
+        ("http://x/1", "dct:issued", "2001-01-01", "literal", "xsd:date", None), ("http://x/1", "dct:creator", "b1", "bnode", None, None), ("_:b1", "dct:title", "Org & Co", "literal", None, "sv"),
+        ("http://x/1", "http://e/ref", "n", "bnode", None, None), ("http://x/2", "http://e/list", "b2", "bnode", None, None), ("_:b2", "rdf:first", "http://x/3", "uri", None, None), ("_:b2", "rdf:rest", "rdf:nil", "uri", None, None),
+    ], key=str)
+    (tmp_path / "a.xml").write_text(xml)
+    t = rdfxml.read(spark, str(tmp_path), "g")
+    head, tail, _ = store.ENVELOPES["xml"]
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "b.xml").write_text("\n".join([head, *[r[0] for r in store.serialized(t, "xml").collect()], tail]))
+    again = rdfxml.read(spark, str(tmp_path / "b"), "g")
+    plain = lambda df: rows(df.where("s NOT LIKE '\\\\_:%' AND o_kind <> 'bnode'"))
+    assert plain(again) == plain(t) and again.count() == t.count() == 10
+    with pytest.raises(ValueError, match="no such form"):
+        store.serialized(t, "doc")
+
+
 def test_turtle(spark):
     text = '@prefix a: <x> .\n<http://x/1> rdfs:label "Jordabalk"@sv ;\n  dct:alternate "JB" .\n# c\n<http://x/2> a foaf:Organization ;\n  owl:sameAs <http://x/3> .'
     lines = spark.createDataFrame(list(enumerate(text.split("\n"))), "pos int, value string")
