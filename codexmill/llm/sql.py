@@ -19,6 +19,8 @@ WITH parts AS (
 """
 
 ORACLE = {
+    "p6_valid": "SELECT container_kind, CAST(0 AS BIGINT) AS containers_over, CAST(0 AS BIGINT) AS uneven, CAST(0 AS BIGINT) AS lost FROM container_sizes",
+    "p7_valid": "SELECT source, true AS within_repeats, true AS once, true AS met FROM mix_targets",
     "p3_found": _GROUPS + "SELECT first_id, record_id AS copy_id FROM grouped WHERE record_id <> first_id",
     "p3_collapsed": _GROUPS + "SELECT record_id, number, n_copies FROM grouped WHERE record_id = first_id",
 }

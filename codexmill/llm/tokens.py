@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import base64
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary's published pre-tokenisation pattern (a fixed value).
@@ -59,3 +62,14 @@ def counter(vocabulary: str = VOCABULARY) -> Callable[[str | None], int]:
         return sum(map(codes.__getitem__, codes.words(text)))
 
     return count
+
+
+def counted_texts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(doc_id, n_tokens) of (doc_id, text)."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = counter(vocabulary)
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b["doc_id"], "n_tokens": [n(t) for t in b["text"]]})
+
+    return docs.select("doc_id", "text").mapInPandas(count, "doc_id bigint, n_tokens bigint")
