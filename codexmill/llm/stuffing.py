@@ -57,6 +57,11 @@ LEADER = re.compile(r"\.{4,}\s*\d+\s*$")
 LEAST_CHARS = 80
 #: Share of a page's text in shapes that are no sentences that flags it.
 MOST = 0.5
+#: A text may repeat a phrase when fewer of its words are different. Words of a phrase come in so large a share of the
+#: sentences and in each so many times on average; a sentence is made for it when so many of its content words are such.
+VARIED, IN_SENTENCES, TIMES, MADE_OF = 0.6, 0.5, 1.3, 0.4
+#: From so many product tags on, what is said after each of them is part of the tag.
+LEAST_PRODUCTS = 2
 SENTENCE, NEUTRAL = "sentence", "entry"
 
 
@@ -169,17 +174,17 @@ def shapes(text: str) -> Iterator[tuple[str, str, int]]:
     hot: set[str] = set()
     again: Counter[str] = Counter()
     products = sum(f[1] == "products" for f in found)
-    if products > 1:  # what is said after every product is part of its tag
+    if products >= LEAST_PRODUCTS:  # what is said after every product is part of its tag
         again.update(NUMBER.sub("0", f[0]) for f in found)
-    if len(distinct) < 0.6 * total:
+    if len(distinct) < VARIED * total:
         hot = _hot([f[2] for f in found if f[1] in (SENTENCE, "keywords")])
     for s, kind, words, name in found:
         k = kind
         if k == SENTENCE and hot:
             own = [w for w in words if len(w) > 3 and w not in FUNCTION_WORDS]
-            if own and sum(w in hot for w in own) >= 0.4 * len(own):
+            if own and sum(w in hot for w in own) >= MADE_OF * len(own):
                 k = "phrase"
-        if k == SENTENCE and products > 1 and again[NUMBER.sub("0", s)] > 1:
+        if k == SENTENCE and products >= LEAST_PRODUCTS and again[NUMBER.sub("0", s)] > 1:
             k = "refrain"
         yield f"{k}:{name}", k, len(s)
 
@@ -195,7 +200,7 @@ def _hot(sentences: list[list[str]]) -> set[str]:
         own = [w for w in words if len(w) > 3 and w not in FUNCTION_WORDS]
         within.update(set(own))
         times.update(own)
-    return {w for w, k in within.items() if k >= max(2, 0.5 * len(sentences)) and times[w] >= 1.3 * k}
+    return {w for w, k in within.items() if k >= max(2, IN_SENTENCES * len(sentences)) and times[w] >= TIMES * k}
 
 
 def document_shapes(docs: DataFrame) -> DataFrame:
