@@ -264,7 +264,7 @@ def blocks(text: str) -> str:
             end()
             out.append(line)
             blank = 0
-        elif line.startswith(" ") and line.strip() and mode != "p":
+        elif line.startswith(" ") and line.strip():
             if mode != "pre":
                 end()
                 mode = "pre"

@@ -335,8 +335,9 @@ def cycles(pairs: DataFrame, fragment_edges: int = FRAGMENT_EDGES) -> DataFrame:
 
 
 def hierarchy(pairs: DataFrame, fragment_edges: int = FRAGMENT_EDGES) -> DataFrame:
-    """(uri, root, depth, path, n_parents, in_cycle), one row for every URI in
-    (s, o); ``path`` is an array from the root down to the URI.
+    """(uri, root, depth, path, n_parents, in_cycle, cycle), one row for every
+    URI in (s, o); ``path`` is an array from the root down to the URI, ``cycle``
+    names the strongly connected set that it is in, if any.
 
     A node with several parents takes its path through the smallest of them;
     ``descendants`` follows them all. Root, depth and path are NULL where the
@@ -345,11 +346,11 @@ def hierarchy(pairs: DataFrame, fragment_edges: int = FRAGMENT_EDGES) -> DataFra
     """
     edges = _edges(pairs)
     k, rings, upper = _solve(edges, fragment_edges, segments=True)
-    rings = materialize(rings, "rings").select(F.col("s").alias("uri"), F.lit(True).alias("_on"))
+    rings = materialize(rings, "rings").select(F.col("s").alias("uri"), F.col("scc").alias("cycle"))
     below = _paths(k, upper).join(rings, "uri", "left")
-    below = below.select("uri", "root", "depth", F.split("path", SEP).alias("path"), "n_parents", F.coalesce("_on", F.lit(False)).alias("in_cycle"))
+    below = below.select("uri", "root", "depth", F.split("path", SEP).alias("path"), "n_parents", F.col("cycle").isNotNull().alias("in_cycle"), "cycle")
     tops = edges.select(F.col("o").alias("uri")).distinct().join(edges.select(F.col("s").alias("uri")), "uri", "left_anti")
-    tops = tops.select("uri", F.col("uri").alias("root"), F.lit(0).cast("bigint").alias("depth"), F.array("uri").alias("path"), F.lit(0).alias("n_parents"), F.lit(False).alias("in_cycle"))
+    tops = tops.select("uri", F.col("uri").alias("root"), F.lit(0).cast("bigint").alias("depth"), F.array("uri").alias("path"), F.lit(0).alias("n_parents"), F.lit(False).alias("in_cycle"), F.lit(None).cast("string").alias("cycle"))
     return below.unionByName(tops)
 
 
@@ -359,24 +360,27 @@ def descendants(pairs: DataFrame, fragment_edges: int = FRAGMENT_EDGES) -> DataF
 
     Pairs along paths come straight from the paths. Links that paths leave out
     (further parents, cycles) form a graph of their own: one leads to another
-    whose child is above its parent. Over the closure of that graph, what is
-    below the first link's child is paired with what is above the last one's
-    parent, so only pairs that such links add are joined.
+    whose child is above its parent; those inside one strongly connected set
+    count as one, so that graph has no cycles. Over its closure, what is below
+    the first link's child is paired with what is above the last one's parent,
+    so only pairs that such links add are joined.
     """
-    h = materialize(hierarchy(pairs, fragment_edges).select("uri", "path", "n_parents"), "hierarchy")
+    h = materialize(hierarchy(pairs, fragment_edges).select("uri", "path", "n_parents", "cycle"), "hierarchy")
     above = F.slice("path", 1, F.size("path") - 1)
     along = h.where("path IS NOT NULL").select(F.explode(above).alias("uri"), F.col("uri").alias("descendant"))
-    special = h.where("n_parents > 1 OR path IS NULL").select(F.col("uri").alias("s"), "path")
-    extra = pairs.where("s IS NOT NULL AND o IS NOT NULL").join(special, "s").where("path IS NULL OR element_at(path, -2) <> o").select("s", "o").distinct()
-    extra = materialize(extra.withColumn("link", F.concat_ws(SEP, "s", "o")), "extra-links")
+    special = h.where("n_parents > 1 OR path IS NULL").select(F.col("uri").alias("s"), "path", F.col("cycle").alias("_from"))
+    extra = pairs.where("s IS NOT NULL AND o IS NOT NULL").join(special, "s").where("path IS NULL OR element_at(path, -2) <> o").select("s", "o", "_from").distinct()
+    extra = extra.join(h.where("cycle IS NOT NULL").select(F.col("uri").alias("o"), F.col("cycle").alias("_to")), "o", "left")
+    link = F.when(F.col("_from") == F.col("_to"), F.concat(F.lit(SEP), "_from")).otherwise(F.concat_ws(SEP, "s", "o"))
+    extra = materialize(extra.select("s", "o", link.alias("link")), "extra-links")
     if extra.isEmpty():
         return along
     up = extra.join(h.select(F.col("uri").alias("o"), "path"), "o").select("link", F.explode(F.coalesce("path", F.array("o"))).alias("a"))
-    up = materialize(up, "above-links")
-    leads = up.join(extra.select(F.col("s").alias("a"), F.col("link").alias("parent")), "a").select(F.col("link").alias("child"), "parent")
+    up = materialize(up.distinct(), "above-links")
+    leads = up.join(extra.select(F.col("s").alias("a"), F.col("link").alias("parent")), "a").select(F.col("link").alias("child"), "parent").where("child <> parent")
     chains = all_pairs(leads).select(F.col("node").alias("low"), F.col("root").alias("high"))
     chains = chains.unionByName(extra.select(F.col("link").alias("low"), F.col("link").alias("high"))).distinct()
-    starts = extra.select("s", F.col("link").alias("low"))
+    starts = extra.select("s", F.col("link").alias("low")).distinct()
     down = h.where("path IS NOT NULL").select(F.explode("path").alias("s"), F.col("uri").alias("d")).join(starts.select("s").distinct(), "s")
     down = down.unionByName(starts.select("s", F.col("s").alias("d"))).distinct().join(starts, "s").select("low", "d")
     new = down.join(chains, "low").join(up.withColumnRenamed("link", "high"), "high").select(F.col("a").alias("uri"), F.col("d").alias("descendant")).distinct()

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from types import ModuleType
 
-from codexmill.plans import documents, general, graph, ingest, publishing
+from codexmill.plans import documents, general, graph, ingest, publishing, rules
 
 
 def modules() -> list[ModuleType]:
-    return [general, graph, documents, publishing, ingest]
+    return [general, graph, documents, publishing, ingest, rules]

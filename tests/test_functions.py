@@ -177,6 +177,15 @@ def test_definitions_of_every_form(spark):
     assert [x and sorted(x) for x in got] == [x and sorted(x) for _, x in DEFINED]
 
 
+def test_amendment_notes(spark):
+    df = spark.createDataFrame([("Text. Lag (1234:567). Mer. Förordning (2003:1116).",), ("enligt lag (1:2) utan punkt",), (None,)], "t string")
+    assert [r[0] for r in df.select(C.amendment_notes(F.col("t"))).collect()] == [["1234:567", "2003:1116"], [], None]
+
+
+def test_a_line_with_a_space_ends_a_paragraph():
+    assert markup.render("text\n förformaterat\n mer\nslut") == "<p>text</p><pre>förformaterat\nmer\n</pre><p>slut</p>"
+
+
 def test_command_line(spark, capsys, tmp_path):
     from codexmill.__main__ import main
 
