@@ -23,6 +23,8 @@ from codexmill.sources.repositories import Repository, newest, unseen
 from codexmill.streaming import refresh
 
 ORG = M.BASE.rsplit("/", 1)[0] + "/org/"
+#: About as many bytes has an RDF/XML document before compression, and so many the tags of a statement.
+DOCUMENT_BYTES, TAG_BYTES = 8 << 20, 100
 
 
 def _written(lines: DataFrame, label: str) -> str:
@@ -32,13 +34,13 @@ def _written(lines: DataFrame, label: str) -> str:
     return path
 
 
-def _documents(rows: DataFrame, label: str, root: str, parts: int = 8) -> str:
+def _documents(rows: DataFrame, label: str, root: str, parts: int = 8, compression: str = "none") -> str:
     """Folder of well-formed XML files of the elements in the rows (one column)."""
     spark, path = rows.sparkSession, scratch(rows.sparkSession, label)
     x = rows.select(F.col(rows.columns[0]).alias("value"), F.lit(1).alias("at"), F.pmod(F.xxhash64(rows.columns[0]), F.lit(parts)).alias("part"))
     for at, tag in ((0, f"<{root}>"), (2, f"</{root.split()[0]}>")):
         x = x.unionByName(spark.range(parts).select(F.lit(tag).alias("value"), F.lit(at).alias("at"), F.col("id").alias("part")))
-    x.repartition("part").sortWithinPartitions("part", "at").select("value", "part").write.partitionBy("part").text(path)
+    x.repartition("part").sortWithinPartitions("part", "at").select("value", "part").write.partitionBy("part").text(path, compression)
     return path
 
 
@@ -289,10 +291,13 @@ def short_title_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rdf_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statements written as RDF/XML and read again: by predicate, kind and
-    language, how many came back."""
+    language, how many came back. There are more documents where there is more
+    to write, not larger ones."""
     t = M.stated(spark, sf_dir)
+    size = F.sum(F.octet_length("s") + F.octet_length("p") + F.octet_length("o") + TAG_BYTES)
+    parts = (M.statements(spark, sf_dir).agg(size).collect()[0][0] or 0) // DOCUMENT_BYTES + 1
     head, _, _ = store.ENVELOPES["xml"]
-    path = _documents(store.serialized(t, "xml"), "rdfxml", head[1:-1])
+    path = _documents(store.serialized(t, "xml"), "rdfxml", head[1:-1], parts, "gzip")
     again = rdfxml.read(spark, path, "again").select("s", "p", "o", "o_kind", "o_datatype", "o_lang").distinct()
     return again.groupBy("p", "o_kind", "o_datatype", "o_lang").agg(F.count("*").alias("n"), F.max("o").alias("last"))
 

@@ -1,12 +1,18 @@
 import datetime as dt
+import gzip
+import os
+import pathlib
+import xml.etree.ElementTree as ET
 
 import pytest
 from pyspark.sql import functions as F
 
 from codexmill.operators import store, tree
 from codexmill.operators.closure import all_pairs, closure, closure_sql, hops
+from codexmill.plans import ingest
 from codexmill.sources import files, rdfxml
 from codexmill.streaming import refresh
+from tests import oracle
 from tests.conftest import rows
 
 STATUTE = "AVDELNING I. X\n1 kap. Om a\n1 § Första.\nAndra stycket.\n1. punkt\na) led\n2. punkt\n2 § Text.\n2 kap. Om b\n1 § Åter.\n2 a § Mer.\n– streck\nBilaga 1\nText i bilaga."
@@ -139,6 +145,33 @@ def test_rdf_xml(spark, tmp_path):
         store.serialized(t, "doc")
 
 
+def test_rdf_xml_is_read_as_it_comes(spark, tmp_path):
+    """The first triples are there before a document has ended, plain or gzipped."""
+    one = '<rdf:Description rdf:about="http://x/{}"><dct:title>T</dct:title></rdf:Description>'
+    lines = [store.ENVELOPES["xml"][0], *map(one.format, range(25_000))]
+    for xml in ("\n".join(lines), "\n".join(lines).encode(), gzip.compress("\n".join(lines).encode())):
+        got = rdfxml.triples(xml)
+        assert next(got) == ("http://x/0", "dct:title", "T", "literal", None, None)
+        with pytest.raises(ET.ParseError):
+            list(got)
+    (tmp_path / "a.xml.gz").write_bytes(gzip.compress("\n".join([*lines, store.ENVELOPES["xml"][1]]).encode()))
+    assert rdfxml.read(spark, str(tmp_path), "g").select("s").distinct().count() == 25_000
+
+
+@pytest.mark.skipif(not os.path.isdir(oracle.SF), reason="needs the test tables")
+def test_rdf_xml_documents_are_more_not_larger(spark, monkeypatch):
+    sizes, read = [], rdfxml.read
+
+    def seen(spark, path, g):
+        sizes.extend(len(gzip.open(p).read()) for p in pathlib.Path(path.removeprefix("file:")).rglob("*.gz"))
+        return read(spark, path, g)
+
+    monkeypatch.setattr(rdfxml, "read", seen)
+    monkeypatch.setattr(ingest, "DOCUMENT_BYTES", 20_000)
+    oracle.compare(spark, oracle.connection(), ingest.rdf_xml_documents, ingest.ORACLE["rdf_xml_documents"])
+    assert len(sizes) > 8 and max(sizes) < 2 * 20_000
+
+
 def test_turtle(spark):
     text = '@prefix a: <x> .\n<http://x/1> rdfs:label "Jordabalk"@sv ;\n  dct:alternate "JB" .\n# c\n<http://x/2> a foaf:Organization ;\n  owl:sameAs <http://x/3> .'
     lines = spark.createDataFrame(list(enumerate(text.split("\n"))), "pos int, value string")
