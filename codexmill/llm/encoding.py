@@ -4,8 +4,9 @@ A smoothed character 3-gram model is trained on the words of clean records.
 Every distinct word that holds other than plain letters is then compared, once,
 with what each chain of re-encoding and decoding makes of it; the likeliest
 reading is accepted when its log-likelihood exceeds the word's own by a margin,
-which was validated on held-out clean words and their corrupted copies. What was
-found out about words is joined back to the records that hold them.
+which was validated on all clean words and their corrupted copies, each word under
+a model that has not counted it. What was found out about words is joined back to
+the records that hold them.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -33,9 +34,8 @@ SEVEN_BIT_CHAIN = "ascii>iso646-se"
 #: Counters of each of a model's two tables, 4 bytes each. All n-grams are counted at any size of the corpus;
 #: those that share a counter in one table hardly do so in the other, and the smaller one counts.
 SLOTS = 1 << 21
-#: Bounded sample of distinct clean words on which the margin is validated.
-VALIDATION_WORDS = 1500
-HELD_OUT = 20
+#: Parts of the distinct words; each is held out once, of the model on which its words validate the margin.
+FOLDS = 5
 #: Gain beyond which a word is not counted in the second model.
 CLEANER = 1.0
 MARGINS = tuple(float(x) for x in range(2, 40))
@@ -236,24 +236,22 @@ def _hash(gram: str) -> int:
     return xxhash.xxh64_intdigest(gram.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _tally(words: DataFrame, keep: Callable[[], Callable[[str], bool]] | None = None) -> DataFrame:
+def _tally(words: DataFrame) -> DataFrame:
     """(held, gram, n): counts of the hashed n-grams of (word, n, held)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        good = keep() if keep else None
-        both: dict[bool, Counter[str]] = {False: Counter(), True: Counter()}
+        parts: defaultdict[int, Counter[str]] = defaultdict(Counter)
         for b in batches:
             for w, n, held in zip(b["word"], b["n"], b["held"], strict=True):
-                if good and not good(w):
-                    continue
-                c = both[held]
+                c = parts[held]
                 c[TOTAL] += n * (len(w) + 1)
                 for g in grams(w):
                     c[g] += n
-        for held, c in both.items():
+        for held, c in parts.items():
             yield pd.DataFrame({"held": held, "gram": [_hash(g) for g in c], "n": list(c.values())})
 
-    return words.mapInPandas(count, "held boolean, gram bigint, n bigint").groupBy("held", "gram").agg(F.sum("n").alias("n"))
+    held = words.schema["held"].dataType.simpleString()
+    return words.mapInPandas(count, f"held {held}, gram bigint, n bigint").groupBy("held", "gram").agg(F.sum("n").alias("n"))
 
 
 def _load(tally: DataFrame) -> Counts:
@@ -269,13 +267,13 @@ def _load(tally: DataFrame) -> Counts:
 
 def distinct_words(texts: DataFrame) -> DataFrame:
     """(word, n, held): every distinct word of (text), how often it stands in
-    records without a sign of damage, and whether the validation gets it."""
+    records without a sign of damage, and the part that it is held out with."""
     #: a column of its own before texts are exploded, else it would be found out again for every word
     clean = (~F.col("text").rlike(_unlikely_pairs())).cast("int")
     words = texts.where("text IS NOT NULL").select("text", clean.alias("clean"))
     words = words.select("clean", F.explode(F.split("text", BETWEEN_WORDS)).alias("word")).where("word <> ''")
     words = words.groupBy("word").agg(F.sum("clean").alias("n"))
-    words = words.withColumn("held", F.pmod(F.xxhash64("word"), F.lit(HELD_OUT)) == 0)
+    words = words.withColumn("held", F.pmod(F.xxhash64("word"), F.lit(FOLDS)).cast("int"))
     #: few bytes but much work a word: as many tasks as there are cores
     return materialize(words.repartition(2 * words.sparkSession.sparkContext.defaultParallelism, "word"), "words")
 
@@ -285,37 +283,66 @@ def train(every: DataFrame) -> tuple[Counts, float]:
 
     Words of records that show no sign of damage are counted. Damage that shows
     no sign is rarer than what it damaged: words that the first model would
-    sooner re-read are left out of the second. Of its words one in ``HELD_OUT``
-    is held out of the model on which the margin is validated; the model
-    returned has them all.
+    sooner re-read are left out of the second. The margin is validated on every
+    word of the second; the model returned has them all.
     """
     words = every.where("n > 0")
-    first = _load(_tally(words))
-    shared = words.sparkSession.sparkContext.broadcast(first)
+    shared = words.sparkSession.sparkContext.broadcast(_load(_tally(words)))
 
-    def keep() -> Callable[[str], bool]:
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = Model(shared.value)
-        return lambda w: not suspect(w) or m.best(w)[0] <= CLEANER
+        for b in batches:
+            yield b[np.array([not suspect(w) or m.best(w)[0] <= CLEANER for w in b["word"]], dtype=bool)]
+
+    kept = materialize(words.mapInPandas(keep, words.schema), "kept")
+    shared.destroy()
+    tally = materialize(_tally(kept), "grams")
+    parts = [_load(tally.where(F.col("held") == k)) for k in range(FOLDS)]
+    return _together(parts), validated_margin(kept, parts)
+
+
+def _together(parts: list[Counts]) -> Counts:
+    return sum(x[0] for x in parts), sum(x[1] for x in parts)
 
-    second = materialize(_tally(words, keep), "grams")
-    return _load(second), validated_margin(words.where("held"), Model(first), Model(_load(second.where("NOT held"))))
 
+def gains(words: DataFrame, parts: list[Counts]) -> DataFrame:
+    """(clean, top, n): how many of the words that hold other than ASCII, and of
+    their corrupted copies, have a gain of ``top`` rounded up. Each is judged by
+    what the parts count that its word is not held out with."""
+    spark = words.sparkSession
+    #: mostly zeros unless the corpus is large
+    shared = spark.sparkContext.broadcast(zlib.compress(np.array(parts), 1))
 
-def validated_margin(held: DataFrame, first: Model, model: Model) -> float:
-    """The margin with the best balance on held-out words, between clean words
-    left alone and their corrupted copies found; a false find weighs as much as
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables = np.frombuffer(zlib.decompress(shared.value), dtype=np.float32).reshape(FOLDS, 2, SLOTS)
+        out: Counter[tuple[bool, int]] = Counter()
+        now, m = None, None
+        for b in batches:
+            for word, held in zip(b["word"], b["held"], strict=True):
+                if held != now:
+                    now, m = held, Model(_together([tables[k] for k in range(FOLDS) if k != held]))
+                out[True, math.ceil(m.best(word)[0])] += 1
+                for x, n in Counter(corruptions(word)).items():
+                    out[False, math.ceil(m.best(x)[0])] += n
+        yield pd.DataFrame([(*k, n) for k, n in out.items()], columns=["clean", "top", "n"])
+
+    odd = words.where(F.col("word").rlike("[^\\x{0}-\\x{7f}]")).select("held", "word")
+    #: few models a task, since a part's words lie together
+    odd = odd.repartitionByRange(2 * spark.sparkContext.defaultParallelism, "held", "word").sortWithinPartitions("held", "word")
+    return odd.mapInPandas(judge, "clean boolean, top bigint, n bigint").groupBy("clean", F.least("top", F.lit(int(MARGINS[-1]) + 1)).alias("top")).agg(F.sum("n").alias("n"))
+
+
+def validated_margin(words: DataFrame, parts: list[Counts]) -> float:
+    """The margin with the best balance on all clean words, between those left
+    alone and their corrupted copies found; a false find weighs as much as
     twenty missed ones."""
-    sample = held.where(F.col("word").rlike("[^\\x{0}-\\x{7f}]")).orderBy(F.xxhash64("word", F.lit(1))).limit(VALIDATION_WORDS)
-    clean, bad = [], []
-    for word in [r["word"] for r in sample.collect()]:
-        if first.best(word)[0] > CLEANER:
-            continue
-        clean.append(model.best(word)[0])
-        bad += [model.best(x)[0] for x in list(corruptions(word))[zlib.crc32(word.encode()) % 5 :: 5]]
-    if not bad:
+    #: two rows a margin
+    got = [(r["clean"], r["top"], r["n"]) for r in gains(words, parts).collect()]
+    total = {kind: sum(n for c, _, n in got if c == kind) for kind in (True, False)}
+    if not total[False]:
         return MARGINS[len(MARGINS) // 3]
-    clean_, bad_ = np.array(clean), np.array(bad)
-    score = {t: (bad_ > t).mean() - 20 * (clean_ > t).mean() for t in MARGINS}
+    above = lambda kind, t: sum(n for c, x, n in got if c == kind and x > t) / total[kind]
+    score = {t: above(False, t) - 20 * above(True, t) for t in MARGINS}
     best = [t for t in MARGINS if score[t] >= max(score.values()) - 1e-3]
     return best[len(best) // 2]
 

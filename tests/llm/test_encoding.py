@@ -75,3 +75,18 @@ def test_rows(spark):
     assert rows(E.found(df)) == [("t", 1000)]
     assert E.restored(df.limit(0)).count() == 0
     assert E.restored(df.where(F.col("text").isNull())).count() == 0
+
+
+def test_margin_comes_from_all_clean_words(spark):
+    """Every clean word and each of its corrupted copies is judged once, however
+    many there are; and not by what it counted itself."""
+    made = [f"{a}{b}ö{c}{d}" for a in WORDS[:12] for b in "bdfg" for c in "klmn" for d in "aeiuy"] + [(odd := misread("förordningböka", "cp1252", "cp850"))] * 3
+    words = E.distinct_words(spark.createDataFrame([(w,) for w in made], "text string")).where("n > 0")
+    parts = [E._load(E._tally(words.where(F.col("held") == k))) for k in range(E.FOLDS)]
+    got = {kind: [r for r in E.gains(words, parts).collect() if r["clean"] == kind] for kind in (True, False)}
+    assert sum(r["n"] for r in got[True]) == len(set(made)) == 961
+    assert sum(r["n"] for r in got[False]) == sum(len(list(E.corruptions(w))) for w in set(made))
+    assert sum(r["n"] for r in got[False] if r["top"] > E.MARGINS[0]) > 0.9 * 10 * 960
+    own = E.Model(E._together(parts)).best(odd)[0]
+    assert max(r["top"] for r in got[True]) == E.gains(words.where(F.col("word") == odd), parts).where("clean").collect()[0]["top"] > own + 1
+    assert E.validated_margin(words, parts) in E.MARGINS
